@@ -7,7 +7,7 @@ from importlib import import_module
 
 from tallywork.plans.registry import Registry
 
-STUDIES = ("purchases", "orders")
+STUDIES = ("purchases", "orders", "subscriptions")
 
 
 @lru_cache(maxsize=1)
