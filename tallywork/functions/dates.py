@@ -6,6 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def parse_short_year(text: Column, pattern: str) -> Column:
+    """Text with a two-digit year to a date: 70-99 are 1970-1999, 00-69 are 2000-2069."""
+    parsed = F.to_date(text, pattern)
+    return F.when(F.year(parsed) >= 2070, F.add_months(parsed, -1200)).otherwise(parsed)
+
+
 def weekday_number(d: Column) -> Column:
     """Day of week, Sunday = 0."""
     return F.dayofweek(d) - F.lit(1)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallywork.functions.numbers import ratio
 
-SLICES = 256
+SLICES = 256  # a power of two
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -32,10 +32,17 @@ def positions(hist: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def sliced_positions(hist: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
     """The same over all rows at once, for any number of distinct values."""
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     point = F.col(value).cast("double")
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     cuts = hist.agg(F.percentile_approx(point, shares, F.lit(100 * slices))).scalar()
-    sliced = hist.withColumn("_slice", F.size(F.filter(cuts, lambda c: c < point)))
+    sliced = hist.withColumns({"_cuts": cuts, "_slice": F.lit(0)})
+    # Binary search for the number of cuts below the value.
+    step = slices // 2
+    while step:
+        beyond = F.element_at("_cuts", F.col("_slice") + step) < point
+        sliced = sliced.withColumn("_slice", F.col("_slice") + F.when(beyond, step).otherwise(0))
+        step //= 2
+    sliced = sliced.drop("_cuts")
     # At most ``slices`` rows from here to the broadcast.
     per_slice = sliced.groupBy("_slice").agg(F.sum("n").alias("_n"))
     order = Window.orderBy("_slice")

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from tallywork.plans.registry import Registry
 
-STUDIES = ("purchases", "orders", "subscriptions", "bank")
+STUDIES = ("purchases", "orders", "subscriptions", "bank", "weekly")
 
 
 @lru_cache(maxsize=1)
