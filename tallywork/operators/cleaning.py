@@ -19,9 +19,7 @@ def clean_order_items(orders: DataFrame, slices: Sequence[Column], hot_rows: int
     cleaned = orders.withColumns({"exclusions": clean_list(F.col("exclusions")), "extras": clean_list(F.col("extras"))})
     keyed = cleaned.withColumns({"_ex": F.coalesce("exclusions", F.lit("")), "_xt": F.coalesce("extras", F.lit(""))})
     numbered = number_rows(keyed, ["order_id"], ["pizza_id", "_ex", "_xt"], "order_item_id", slices, hot_rows)
-    return numbered.select(
-        "order_id", "order_item_id", "customer_id", "pizza_id", "exclusions", "extras", "order_time"
-    )
+    return numbered.drop("_ex", "_xt")
 
 
 def list_sizes(items: DataFrame) -> DataFrame:

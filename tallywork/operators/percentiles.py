@@ -34,7 +34,7 @@ def sliced_positions(hist: DataFrame, value: str, slices: int = SLICES) -> DataF
     """The same over all rows at once, for any number of distinct values."""
     point = F.col(value).cast("double")
     shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    cuts = hist.agg(F.percentile_approx(point, shares, F.lit(100 * slices))).scalar()
+    cuts = hist.agg(F.percentile_approx(point, shares, F.lit(4 * slices))).scalar()
     sliced = hist.withColumns({"_cuts": cuts, "_slice": F.lit(0)})
     # Binary search for the number of cuts below the value.
     step = slices // 2

@@ -88,18 +88,36 @@ def window_of(day: str, weeks: int, inclusive_end: bool = True) -> tuple[Column,
     return (week >= F.lit(start)) & (week < F.lit(pivot)), (week >= F.lit(pivot)) & (week <= F.lit(end))
 
 
+def side_totals(clean: DataFrame, sides: dict[str, Column], keys: Sequence[str] = ()) -> DataFrame:
+    """Sales per key and side; rows on no side drop out.
+
+    Rows are tagged once and added up, and groups without a side are dropped by
+    their count: a filter on the sides themselves would be pushed down to the rows
+    and work out the parsed date again for every condition in it."""
+    tag = F.lit(None).cast("string")
+    for name, condition in reversed(sides.items()):
+        tag = F.when(condition, F.lit(name)).otherwise(tag)
+    totals = clean.withColumn("changes", tag).groupBy(*keys, "changes").agg(
+        F.sum("sales").alias("total_sales"), F.count("changes").alias("_rows")
+    )
+    return totals.filter(F.col("_rows") > 0).drop("_rows")
+
+
+def of_side(name: str) -> Column:
+    return sum_when(F.col("changes") == name, F.col("total_sales"))
+
+
 def before_after(clean: DataFrame, day: str, weeks: int) -> DataFrame:
     """Total sales of the two sides, one row each."""
     before, after = window_of(day, weeks)
-    side = F.when(before, "before change").when(after, "after change")
-    return clean.filter(before | after).groupBy(side.alias("changes")).agg(F.sum("sales").alias("total_sales"))
+    return side_totals(clean, {"before change": before, "after change": after})
 
 
 def before_after_percent(clean: DataFrame, day: str, weeks: int, scale: int) -> DataFrame:
     """Both totals, their difference and growth in one row, from one pass."""
     before, after = window_of(day, weeks)
-    sums = clean.filter(before | after).agg(
-        sum_when(before, F.col("sales")).alias("before_sales"), sum_when(after, F.col("sales")).alias("after_sales")
+    sums = side_totals(clean, {"before": before, "after": after}).agg(
+        of_side("before").alias("before_sales"), of_side("after").alias("after_sales")
     )
     b, a = F.col("before_sales"), F.col("after_sales")
     return sums.withColumns({"change": a - b, "percent_change": growth_percent(b, a, scale)})
@@ -107,12 +125,10 @@ def before_after_percent(clean: DataFrame, day: str, weeks: int, scale: int) ->
 
 def before_after_years(clean: DataFrame, month_day: str, years: Sequence[int], weeks: int) -> DataFrame:
     """The same window in several years: a row per side, columns per year."""
-    sums, any_side = [], F.lit(False)
+    sides: dict[str, Column] = {}
     for year in years:
-        before, after = window_of(f"{year}-{month_day}", weeks)
-        any_side = any_side | before | after
-        sums += [sum_when(before, F.col("sales")).alias(f"b{year}"), sum_when(after, F.col("sales")).alias(f"a{year}")]
-    totals = clean.filter(any_side).agg(*sums)
+        sides[f"b{year}"], sides[f"a{year}"] = window_of(f"{year}-{month_day}", weeks)
+    totals = side_totals(clean, sides).agg(*[of_side(name).alias(name) for name in sides])
 
     def side(name: str, letter: str) -> Column:
         fields = [F.lit(name).alias("changes")]
@@ -126,13 +142,17 @@ def before_after_years(clean: DataFrame, month_day: str, years: Sequence[int], w
 
 
 def impact_by_dimension(clean: DataFrame, dimensions: Sequence[str], day: str, weeks: int) -> DataFrame:
-    """Growth around a day for every value of every dimension, from one scan."""
+    """Growth around a day for every value of every dimension, from one scan.
+
+    Rows are added up over all dimensions at once before the grouping sets multiply
+    them."""
     before, after = window_of(day, weeks)
+    totals = side_totals(clean, {"before": before, "after": after}, dimensions)
+    sets = totals.groupingSets([[c] for c in dimensions], *dimensions)
     zero = F.lit(0).cast("decimal(18,2)")
-    sets = clean.filter(before | after).groupingSets([[c] for c in dimensions], *dimensions)
     sums = sets.agg(
-        F.sum(F.when(before, F.col("sales")).otherwise(zero)).alias("before_changes"),
-        F.sum(F.when(after, F.col("sales")).otherwise(zero)).alias("after_changes"),
+        F.coalesce(of_side("before"), zero).alias("before_changes"),
+        F.coalesce(of_side("after"), zero).alias("after_changes"),
         *[F.grouping(c).alias(f"_{c}") for c in dimensions],
     )
     name, value = F.lit(None).cast("string"), F.lit(None).cast("string")

@@ -1,18 +1,19 @@
 """Order items against recipes: labels, ingredient lists and totals, prices.
 
-Two items with the same product and the same lists get the same text, so texts and
-quantities are worked out once per distinct combination and then joined back."""
+A topping table of up to ``INLINE_TOPPINGS`` rows becomes a map from id to name, and
+texts are built inside each row without a shuffle. A larger one is joined: ids are
+exploded, named and put together again per item."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions.text import list_ids
+from tallywork.functions.text import list_ids, list_items
 from tallywork.operators.cleaning import tagged_elements
-from tallywork.operators.skew import join_on
 
-COMBINATION = ["pizza_id", "exclusions", "extras"]
+ITEM = ["order_id", "order_item_id", "pizza_id"]
+INLINE_TOPPINGS = 1000
 
 
 def joined_text(text: Column | str, sep: str, order: str) -> Column:
@@ -20,53 +21,88 @@ def joined_text(text: Column | str, sep: str, order: str) -> Column:
     return F.expr(f"listagg({text}, '{sep}') within group (order by {order})")
 
 
-def item_labels(items: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
-    """``Name - Exclude: A, B - Extra: C`` for every item."""
-    cells = tagged_elements({"Exclude": F.col("exclusions"), "Extra": F.col("extras")})
-    changes = items.select(*COMBINATION).distinct().withColumn("c", F.explode(cells))
-    per_type = (
-        changes.select(*COMBINATION, "c.change_type", "c.topping_id")
-        .join(toppings, "topping_id")
-        .groupBy(*COMBINATION, "change_type")
-        .agg(joined_text("topping_name", ", ", "topping_name").alias("names"))
-    )
-    texts = per_type.groupBy(*COMBINATION).agg(
-        joined_text("change_type || ': ' || names", " - ", "change_type").alias("changes")
-    )
-    labelled = join_on(items, texts, COMBINATION, "left").join(names.select("pizza_id", "pizza_name"), "pizza_id")
-    suffix = F.coalesce(F.concat(F.lit(" - "), "changes"), F.lit(""))
-    return labelled.select("order_id", "order_item_id", F.concat("pizza_name", suffix).alias("order_string"))
+def is_small(toppings: DataFrame, limit: int) -> bool:
+    """Whether the table has at most so many rows; reads no more than one beyond."""
+    return toppings.limit(limit + 1).count() <= limit
+
 
+def name_map(toppings: DataFrame) -> Column:
+    """Map id -> name of a small topping table, as a scalar."""
+    pairs = F.struct(F.col("topping_id").cast("int"), F.col("topping_name"))
+    return toppings.agg(F.map_from_entries(F.collect_list(pairs))).scalar()
 
-def ingredients(combinations: DataFrame, recipes: DataFrame, keep: list[str]) -> DataFrame:
-    """Toppings that go on each combination, with ``quantity`` 2 for an extra that is
-    on the recipe anyway. An extra wins over an exclusion of the same topping."""
+
+def item_labels(
+    items: DataFrame, names: DataFrame, toppings: DataFrame, inline_limit: int = INLINE_TOPPINGS
+) -> DataFrame:
+    """``Name - Exclude: A, B - Extra: C`` for every item."""
+    columns = {"Exclude": "exclusions", "Extra": "extras"}
+    if is_small(toppings, inline_limit):
+        mapped = items.withColumn("_names", name_map(toppings))
+        texts = mapped.select(*ITEM, *[_list_names(F.col(c)).alias(t) for t, c in columns.items()])
+    else:
+        cells = tagged_elements({t: F.col(c) for t, c in columns.items()})
+        changes = items.select(*ITEM, F.explode_outer(cells).alias("c")).select(*ITEM, "c.change_type", "c.topping_id")
+        texts = changes.join(toppings, "topping_id", "left").groupBy(*ITEM).agg(
+            *[
+                joined_text(f"case when change_type = '{t}' then topping_name end", ", ", "topping_name").alias(t)
+                for t in columns
+            ]
+        )
+    parts = [F.coalesce(F.concat(F.lit(f" - {t}: "), F.col(t)), F.lit("")) for t in columns]
+    labelled = texts.join(names.select("pizza_id", "pizza_name"), "pizza_id")
+    return labelled.select("order_id", "order_item_id", F.concat("pizza_name", *parts).alias("order_string"))
+
+
+def _list_names(cell: Column) -> Column:
+    """Sorted names of the ids in a text list, by the map in ``_names``; NULL for no name."""
+    named = F.filter(F.transform(list_items(cell), lambda x: F.col("_names")[x.try_cast("int")]), lambda n: n.isNotNull())
+    return F.when(F.size(named) > 0, F.array_join(F.array_sort(named), ", "))
+
+
+def ingredients(items: DataFrame, recipes: DataFrame, keep: list[str]) -> DataFrame:
+    """Toppings of every item as an array ``toppings`` and those that count twice as
+    ``doubled``: an extra that is on the recipe anyway. An extra wins over an exclusion
+    of the same topping."""
     recipe = recipes.select("pizza_id", list_ids(F.col("toppings")).alias("_recipe"))
-    sets = combinations.join(recipe, "pizza_id").withColumns(
+    sets = items.join(recipe, "pizza_id").withColumns(
         {"_without": list_ids(F.col("exclusions")), "_with": list_ids(F.col("extras"))}
     )
     kept = F.array_except("_recipe", F.array_except("_without", "_with"))
-    doubled = F.array_intersect("_recipe", "_with")
-    rows = sets.withColumn("_double", doubled).withColumn("topping_id", F.explode(F.array_union(kept, F.col("_with"))))
-    quantity = F.when(F.array_contains("_double", F.col("topping_id")), 2).otherwise(1)
-    return rows.select(*keep, "topping_id", quantity.alias("quantity"))
+    return sets.select(
+        *keep, F.array_union(kept, F.col("_with")).alias("toppings"), F.array_intersect("_recipe", "_with").alias("doubled")
+    )
 
 
-def ingredient_lists(items: DataFrame, recipes: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+def ingredient_lists(
+    items: DataFrame, recipes: DataFrame, names: DataFrame, toppings: DataFrame, inline_limit: int = INLINE_TOPPINGS
+) -> DataFrame:
     """Ingredients of every item as one text in alphabetical order."""
-    combinations = items.select(*COMBINATION).distinct()
-    named = ingredients(combinations, recipes, COMBINATION).join(toppings, "topping_id")
-    text = "case when quantity = 2 then '2x' || topping_name else topping_name end"
-    lists = named.groupBy(*COMBINATION).agg(joined_text(text, ", ", "topping_name").alias("ingredients"))
-    labelled = join_on(items, lists, COMBINATION, "left").join(names.select("pizza_id", "pizza_name"), "pizza_id")
+    used = ingredients(items, recipes, ITEM)
+    twice = F.array_contains("doubled", F.col("topping_id"))
+    if is_small(toppings, inline_limit):
+        entries = F.transform(
+            "toppings",
+            lambda x: F.struct(F.col("_names")[x].alias("name"), F.array_contains("doubled", x).alias("twice")),
+        )
+        known = F.array_sort(F.filter(entries, lambda e: e["name"].isNotNull()))
+        words = F.transform(known, lambda e: F.concat(F.when(e["twice"], "2x").otherwise(""), e["name"]))
+        text = F.when(F.size(known) > 0, F.array_join(words, ", "))
+        lists = used.withColumn("_names", name_map(toppings)).select(*ITEM, text.alias("ingredients"))
+    else:
+        rows = used.select(*ITEM, "doubled", F.explode_outer("toppings").alias("topping_id"))
+        named = rows.withColumn("twice", twice).join(toppings, "topping_id", "left")
+        word = "case when twice then '2x' || topping_name else topping_name end"
+        lists = named.groupBy(*ITEM).agg(joined_text(word, ", ", "topping_name").alias("ingredients"))
+    labelled = lists.join(names.select("pizza_id", "pizza_name"), "pizza_id")
     return labelled.select("order_id", "order_item_id", "pizza_name", "ingredients")
 
 
 def ingredient_totals(items: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Quantity of every ingredient over all items."""
-    counted = items.groupBy(*COMBINATION).agg(F.count(F.lit(1)).alias("_items"))
-    used = ingredients(counted, recipes, ["_items"])
-    totals = used.groupBy("topping_id").agg(F.sum(F.col("_items") * F.col("quantity")).alias("ingredient_count"))
+    """Quantity of every ingredient over all items; counts combine map-side first."""
+    rows = ingredients(items, recipes, []).select("doubled", F.explode("toppings").alias("topping_id"))
+    quantity = F.when(F.array_contains("doubled", F.col("topping_id")), 2).otherwise(1)
+    totals = rows.groupBy("topping_id").agg(F.sum(quantity).alias("ingredient_count"))
     return totals.join(toppings, "topping_id").select("topping_name", "ingredient_count")
 
 

@@ -222,14 +222,12 @@ def _topping_text(*ids: Column) -> Column:
     return F.concat_ws(", ", *[_text(i % 25 + 1) for i in ids])
 
 
-def customer_orders(spark: SparkSession, folder: str) -> DataFrame:
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Raw order items with two lists of topping ids in text cells."""
-    lines, orders = load(spark, folder, "lineitem"), load(spark, folder, "orders")
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
     pick = (part + F.col("l_linenumber")) % 5
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+    return load(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
         part.alias("pizza_id"),
         F.when(pick == 0, "null")
         .when(pick == 1, "")
@@ -241,6 +239,14 @@ def customer_orders(spark: SparkSession, folder: str) -> DataFrame:
         .when(supp % 4 == 2, _topping_text(supp))
         .otherwise(_topping_text(supp, supp + 3, supp + 11))
         .alias("extras"),
+    )
+
+
+def order_heads(spark: SparkSession, folder: str) -> DataFrame:
+    """Buyer and time of every order."""
+    return load(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_time"),
     )
 
@@ -283,12 +289,6 @@ def event_times(spark: SparkSession, folder: str) -> DataFrame:
     return load(spark, folder, "events").select(F.col("event_id").alias("order_id"), F.col("ts").alias("order_time"))
 
 
-def order_times(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("order_time")
-    )
-
-
 def interest_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly figures per interest; the month is text and sometimes missing."""
     month = F.when(F.col("l_linenumber") != 7, F.date_format("l_shipdate", "MM-yyyy"))
