@@ -8,39 +8,57 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.operators.aggregates import one_per_group
-from tallywork.operators.skew import value_rank
+from tallywork.operators.skew import HOT_ROWS, join_salted, value_rank
 
 
-def after_event(facts: DataFrame, events: DataFrame, key: str, date: str, event_date: str) -> DataFrame:
+def after_event(
+    facts: DataFrame, events: DataFrame, key: str, date: str, event_date: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Facts strictly later than the event of their entity."""
-    return facts.join(events, key).filter(F.col(date) > F.col(event_date))
+    return join_salted(facts, events, [key], hot_rows=hot_rows).filter(F.col(date) > F.col(event_date))
 
 
-def before_event(facts: DataFrame, events: DataFrame, key: str, date: str, event_date: str) -> DataFrame:
+def before_event(
+    facts: DataFrame, events: DataFrame, key: str, date: str, event_date: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Facts strictly earlier than the event of their entity."""
-    return facts.join(events, key).filter(F.col(date) < F.col(event_date))
+    return join_salted(facts, events, [key], hot_rows=hot_rows).filter(F.col(date) < F.col(event_date))
 
 
-def first_after(facts: DataFrame, events: DataFrame, key: str, date: str, event_date: str) -> DataFrame:
+def first_after(
+    facts: DataFrame, events: DataFrame, key: str, date: str, event_date: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Facts of the first day after the event; all of that day are kept."""
-    later = after_event(facts, events, key, date, event_date)
+    later = after_event(facts, events, key, date, event_date, hot_rows)
     window = Window.partitionBy(key).orderBy(F.col(date).asc_nulls_last())
     return later.withColumn("_rank", F.rank().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def last_before(
-    facts: DataFrame, events: DataFrame, key: str, date: str, event_date: str, tiebreak: Sequence[str]
+    facts: DataFrame,
+    events: DataFrame,
+    key: str,
+    date: str,
+    event_date: str,
+    tiebreak: Sequence[str],
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The one fact closest before the event (as-of)."""
-    earlier = before_event(facts, events, key, date, event_date)
+    earlier = before_event(facts, events, key, date, event_date, hot_rows)
     return one_per_group(earlier, [key], [F.col(c).desc_nulls_last() for c in (date, *tiebreak)])
 
 
 def event_flag(
-    facts: DataFrame, events: DataFrame, key: str, date: str, event_date: str, name: str = "member"
+    facts: DataFrame,
+    events: DataFrame,
+    key: str,
+    date: str,
+    event_date: str,
+    name: str = "member",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """'Y' from the event on, 'N' before it and for entities without one."""
-    flagged = facts.join(events, key, "left")
+    flagged = join_salted(facts, events, [key], "left", hot_rows)
     return flagged.withColumn(name, F.when(F.col(date) >= F.col(event_date), "Y").otherwise("N")).drop(event_date)
 
 

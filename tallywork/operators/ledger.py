@@ -26,9 +26,9 @@ def closing_balance(txns: DataFrame, first_month: str | None = None, last_month:
     customers and months has to be built and joined. Without given months the span
     of the data is used; transactions outside of given months do not count."""
     month = month_start(F.col("txn_date"))
-    span = txns.agg(F.min(month).alias("lo"), F.max(month).alias("hi"))
-    low = span.select("lo").scalar() if first_month is None else F.lit(first_month).cast("date")
-    high = span.select("hi").scalar() if last_month is None else F.lit(last_month).cast("date")
+    span = txns.agg(F.struct(F.min(month).alias("lo"), F.max(month).alias("hi"))).scalar()
+    low = span["lo"] if first_month is None else F.lit(first_month).cast("date")
+    high = span["hi"] if last_month is None else F.lit(last_month).cast("date")
     inside = F.lit(True)
     if first_month is not None:
         inside = inside & (month >= low)

@@ -10,6 +10,9 @@ operators here keep the work of one task bounded whatever the keys look like:
   ``hot_rows`` rows are cut into slices of the ordering, and each slice gets one
   extra row that carries over what it must know of its neighbour. All other keys
   stay in one piece.
+* ``join_salted`` spreads the facts of hot keys over several copies of the row they
+  are joined with. Adaptive execution splits a skewed join too, but not when the
+  join feeds a window or a grouping on the same key.
 """
 
 from __future__ import annotations
@@ -51,6 +54,29 @@ def slice_hot(df: DataFrame, keys: Sequence[str], slices: Sequence[Column], hot_
     return flagged.withColumn("_slice", F.when(F.col("_hot"), piece)).drop("_hot")
 
 
+def join_salted(
+    facts: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    salts: int = 256,
+) -> DataFrame:
+    """Inner or left equi join of facts with few rows per key on the right.
+
+    The salt is a hash of the whole fact, so a task that runs again sends every fact
+    to the same place."""
+    hot = F.broadcast(hot_keys(facts, keys, hot_rows).withColumn("_hot", F.lit(True)))
+    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    spread = F.col("_hot")
+    for key in keys:  # rows without a key match nothing and may all be spread
+        spread = F.coalesce(spread, F.lit(False)) | F.col(key).isNull()
+    left = facts.join(hot, list(keys), "left").withColumn("_salt", F.when(spread, salt).otherwise(0)).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = rows.join(hot, list(keys), "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order: str, measure: Column, name: str) -> DataFrame:
     """Running sum in which rows equal in ``order`` share the value (RANGE frame)."""
     totals = running_series(df, keys, order, measure, name).select(*keys, order, name)

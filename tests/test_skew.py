@@ -60,6 +60,15 @@ def test_ranks(facts, descending, dense):
     assert rows(got.select(plain.columns)) == rows(plain)
 
 
+@pytest.mark.parametrize("hot_rows", [1, 50, 10_000])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join(spark, facts, hot_rows, how):
+    names = spark.createDataFrame([("hot", "a"), ("k1", "b"), ("k1", "c"), ("none", "d")], "key string, name string")
+    got = skew.join_salted(facts, names, ["key"], how, hot_rows, salts=7)
+    want = facts.join(names, "key", how)
+    assert rows(got.select(want.columns)) == rows(want)
+
+
 def test_hot_keys(facts):
     assert rows(skew.hot_keys(facts, ["key"], 30)) == [("hot",), (None,)]
 
