@@ -31,7 +31,7 @@ def list_size(col: Column, sep: str = ",") -> Column:
 
 def list_ids(col: Column, sep: str = ",") -> Column:
     """Text list -> array of distinct int ids; an empty array for NULL."""
-    ids = F.transform(list_items(col, sep), lambda x: x.try_cast("int"))
+    ids = list_items(col, sep).try_cast("array<int>")
     return F.coalesce(F.array_distinct(ids), F.array().cast("array<int>"))
 
 

@@ -93,7 +93,7 @@ def running_series(df: DataFrame, keys: Sequence[str], order: str, measure: Colu
 def value_rank(
     df: DataFrame, keys: Sequence[str], order: str, name: str, descending: bool = False, dense: bool = False
 ) -> DataFrame:
-    """``rank`` / ``dense_rank`` of every row inside its key."""
+    """``rank`` / ``dense_rank`` of every row inside its key, as bigint."""
     per_value = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_rows"))
     window = Window.partitionBy(*keys).orderBy(*ordering([order], descending))
     if dense:
@@ -101,7 +101,7 @@ def value_rank(
     else:
         before = F.sum("_rows").over(window.rowsBetween(Window.unboundedPreceding, -1))
         rank = F.coalesce(before, F.lit(0)) + 1
-    return join_on(df, per_value.select(*keys, order, rank.cast("int").alias(name)), [*keys, order])
+    return join_on(df, per_value.select(*keys, order, rank.cast("bigint").alias(name)), [*keys, order])
 
 
 def number_rows(
@@ -112,7 +112,7 @@ def number_rows(
     slices: Sequence[Column],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``row_number`` inside a key. ``slices`` must not fall while ``order`` rises."""
+    """``row_number`` inside a key, as bigint. ``slices`` must not fall while ``order`` rises."""
     pieces = slice_hot(df, keys, slices, hot_rows)
     counts = (
         pieces.filter(F.col("_slice").isNotNull()).groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
@@ -128,7 +128,7 @@ def number_rows(
         .orderBy("_real", *ordering(order))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    numbered = rows.withColumn(name, F.sum("_step").over(window).cast("int"))
+    numbered = rows.withColumn(name, F.sum("_step").over(window))
     return numbered.filter(F.col("_real") == 1).drop("_step", "_real", "_slice")
 
 

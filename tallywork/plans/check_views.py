@@ -86,8 +86,8 @@ select o_orderkey as order_id, o_custkey % 10 as runner_id,
        case when o_orderkey % 4 = 0 then 'Customer Cancellation' end as cancellation
 from orders"""),
     "v_items": ((), """
-select order_id, cast(row_number() over (partition by order_id
-         order by pizza_id, coalesce(exclusions, ''), coalesce(extras, '')) as int) as order_item_id,
+select order_id, row_number() over (partition by order_id
+         order by pizza_id, coalesce(exclusions, ''), coalesce(extras, '')) as order_item_id,
        customer_id, pizza_id, exclusions, extras, order_time
 from (select l.l_orderkey as order_id, o.o_custkey as customer_id, l.l_partkey as pizza_id, o.o_orderdate as order_time,
         case (l_partkey + l_linenumber) % 5
