@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import mixing, packing
-from tallywork.llm.common import table
+from tallywork.llm import exact_dedup, mixing, packing, simhash, token_files
+from tallywork.llm.common import new_folder, table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
 
@@ -16,6 +16,26 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP6_SQL = """
+with t as (
+  select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) as text_sha256 from documents),
+g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from t group by text_sha256)
+select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256
+from t join g using (text_sha256)
+"""
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    token_files.write_ids(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), 1)
+    return token_files.read_index(spark, folder)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), MIX_WEIGHTS)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -29,5 +49,12 @@ with docs as (
 select doc_id, size, source_size, target, copies * size as taken from mixed
 """
 
-QUERIES = {"op1_packing": op1_packing, "op8_mixing": op8_mixing}
-CHECKS = {"op8_mixing": OP8_SQL}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_packing": op1_packing, "op6_exact_dedup": op6_exact_dedup, "op7_token_files": op7_token_files,
+    "op8_mixing": op8_mixing, "op10_simhash": op10_simhash,
+}
+CHECKS = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
