@@ -8,20 +8,56 @@ from functools import lru_cache
 import numpy as np
 
 #: Words in each of the two generations of the memory.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: Characters whose words are looked up together.
 STRETCH = 4_000_000
 #: Words that go to the tokenizer as one text.
 JOINED = 64
 
 
+class Memory:
+    """Ids of words that come after the same sign, or at the start of a text."""
+
+    def __init__(self, encoder: WordwiseEncoder, sign: str, lead: str):
+        self.encoder, self.sign, self.lead = encoder, sign, lead
+        self.recent: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+
+    def learn(self, words: set[str]) -> None:
+        """Afterwards ``recent`` has all of ``words``; None: it can't stand alone."""
+        new = words.difference(self.recent)
+        if len(self.recent) + len(new) > REMEMBERED:
+            self.older, self.recent = self.recent, {}
+            new = words
+        known = new.intersection(self.older)
+        self.recent.update(zip(known, map(self.older.__getitem__, known)))
+        new = new.difference(known)
+        plain = sorted((word for word in new if word and word.strip() == word), key=len)
+        self.recent.update(dict.fromkeys(new.difference(plain)))
+        groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        tokenizer = self.encoder.tokenizer
+        for start in range(0, len(groups), 256):
+            some = groups[start : start + 256]
+            joined = [self.lead + self.sign.join(group) for group in some]
+            for group, found in zip(some, tokenizer.encode_batch(joined, add_special_tokens=False)):
+                raw = np.array(found.ids, "<u4").tobytes()
+                begins = np.array([span[0] for span in found.offsets], np.int64)
+                first = np.cumsum([0] + [len(word) + 1 for word in group])
+                last = first[1:]
+                if not self.lead:  # the sign is before the next word and has ids of its own
+                    last = first[1:] - 1
+                a = 4 * np.searchsorted(begins, first[:-1])
+                b = 4 * np.searchsorted(begins, last)
+                self.recent.update(zip(group, map(raw.__getitem__, map(slice, a.tolist(), b.tolist()))))
+
+
 class WordwiseEncoder:
     """Ids as little-endian unsigned 32-bit integers, equal to those of the whole text.
 
-    The text is cut at single spaces. A byte-level tokenizer that keeps the space with the word
-    after it (``keeps_space``) never joins ids across such a place, provided neither side is
-    white space too; texts that break this go to the tokenizer whole. A tokenizer that drops
-    white space never joins ids across any space."""
+    The text is cut at single spaces and line ends. A byte-level tokenizer that keeps the space
+    with the word after it (``keeps_space``) never joins ids across such a place, provided
+    neither side is white space too; texts that break this go to the tokenizer whole. A tokenizer
+    that drops white space never joins ids across any of it."""
 
     def __init__(self, path: str, keeps_space: bool):
         from tokenizers import Tokenizer
@@ -30,8 +66,9 @@ class WordwiseEncoder:
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.model._resize_cache(0)  # words are remembered here
         self.keeps_space = keeps_space
-        self.recent: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
+        self.words = Memory(self, " ", " ")
+        self.heads = Memory(self, "\n", "")
+        self.line_end = self.whole("\n") if keeps_space else b""
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -48,48 +85,28 @@ class WordwiseEncoder:
         yield from self._stretch(stretch)
 
     def _stretch(self, texts: list[str]) -> Iterator[bytes]:
-        split = [text.split(" ") for text in texts]
         if self.keeps_space:
-            heads = [self.whole(words[0]) if words[0] else b"" for words in split]
-            rest = [words[1:] for words in split]
+            lines = [[line.split(" ") for line in text.split("\n")] for text in texts]
+            heads = [[line.pop(0) for line in text] for text in lines]
+            self.heads.learn(set().union(*heads))
+            self.words.learn(set().union(*[line for text in lines for line in text]))
+            word, head = self.words.recent.__getitem__, self.heads.recent.__getitem__
+            for text, starts, rests in zip(texts, heads, lines):
+                try:
+                    yield self.line_end.join([head(s) + b"".join(map(word, rest)) for s, rest in zip(starts, rests)])
+                except TypeError:  # a word that can't stand alone
+                    yield self.whole(text)
         else:
-            heads, rest = [b""] * len(split), split
-        self._learn(set().union(*rest))
-        find = self.recent.__getitem__
-        for text, head, words in zip(texts, heads, rest):
-            try:
-                if self.keeps_space and (not text or text[0].isspace() or text.split(" ", 1)[0][-1:].isspace()):
-                    raise TypeError
-                yield head + b"".join(map(find, words))
-            except TypeError:  # a word that can't stand alone
-                yield self.whole(text)
-
-    def _learn(self, words: set[str]) -> None:
-        new = words.difference(self.recent)
-        if len(self.recent) + len(new) > REMEMBERED:
-            self.older, self.recent = self.recent, {}
-            new = words
-        known = new.intersection(self.older)
-        self.recent.update((word, self.older[word]) for word in known)
-        plain = []
-        for word in new.difference(known):
-            if word and not word[0].isspace() and not word[-1].isspace():
-                plain.append(word)
-            else:
-                self.recent[word] = None if self.keeps_space else self.whole(word)
-        plain.sort(key=len)
-        groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
-        for start in range(0, len(groups), 256):
-            some = groups[start : start + 256]
-            joined = [" " + " ".join(group) for group in some]
-            for group, found in zip(some, self.tokenizer.encode_batch(joined, add_special_tokens=False)):
-                ids = np.array(found.ids, "<u4")
-                begins = np.array([span[0] for span in found.offsets], np.int64)
-                edges = np.cumsum([0] + [len(word) + 1 for word in group])
-                cuts = np.searchsorted(begins, edges).tolist()
-                raw = ids.tobytes()
-                for word, a, b in zip(group, cuts, cuts[1:]):
-                    self.recent[word] = raw[4 * a : 4 * b]
+            split = [text.replace("\n", " ").split(" ") for text in texts]
+            self.words.learn(set().union(*split))
+            recent = self.words.recent
+            recent[""] = b""
+            word = recent.__getitem__
+            for text, words in zip(texts, split):
+                try:
+                    yield b"".join(map(word, words))
+                except TypeError:
+                    yield self.whole(text)
 
 
 @lru_cache(maxsize=2)
