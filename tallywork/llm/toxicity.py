@@ -152,6 +152,8 @@ class Model:
     """Probability that a document with the term (or a misspelling of it) is toxic; words that
     are close to a term and yet ordinary."""
 
+    #: Evidence, number of words -> log odds: intercept, weight of the evidence, weight of log length.
+    scale: tuple[float, float, float] = (0.0, 0.0, 0.0)
     exact: dict[str, float] = field(default_factory=dict)
     misspelt: dict[str, float] = field(default_factory=dict)
     ordinary: frozenset[str] = frozenset()
@@ -182,6 +184,14 @@ class Scorer:
         return (found[1], found[0]) if found else None
 
     def score(self, text: str) -> float:
+        evidence, words = self.evidence(text)
+        if not evidence:
+            return FLOOR
+        a, b, c = self.model.scale
+        return max(FLOOR, 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * evidence + c * math.log1p(words))))))
+
+    def evidence(self, text: str) -> tuple[float, int]:
+        """What the terms of the text say together, each distinct word once, and the number of words."""
         low = text.lower()
         new = set(low.split()).difference(self.harmless)
         hits = {}
@@ -193,15 +203,15 @@ class Scorer:
         if len(self.harmless) > REMEMBERED_WORDS:
             self.harmless = set()
         if not hits:
-            return FLOOR
+            return 0.0, 0
         words = low.split()
-        clean = 1.0 - FLOOR
+        best: dict[str, float] = {}
         for i, word in enumerate(words):
             if word in hits:
                 term, edits = hits[word]
                 weight = self.model.exact[term] if not edits else self.model.misspelt.get(term, 0.5)
-                clean *= 1.0 - weight * around(words, i)
-        return min(1.0, max(0.0, 1.0 - clean))
+                best[word] = max(best.get(word, 0.0), -math.log1p(-min(0.999, weight)) * around(words, i))
+        return sum(best.values()), len(words)
 
 
 def around(words: list[str], i: int) -> float:
@@ -292,9 +302,41 @@ def learn(texts: DataFrame) -> Model:
         a, b = more + 0.5 / n_toxic, unseen + 0.25 * entries[family] / n_clean
         model.misspelt[term] = 0.9 * a / (a + b)
     model.ordinary = ordinary
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            found = [scorer.evidence(x.as_py()) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.int64()), batch.column(1)],
+                names=["evidence", "words", "label"],
+            )
+
+    points = texts.select("text", "label").mapInArrow(gather, "evidence double, words long, label int").filter("evidence > 0").collect()
+    model.scale = scaled([(r["evidence"], r["words"], r["label"], 1.0) for r in points])
     return model
 
 
+def scaled(points: list[tuple[float, int, int, float]]) -> tuple[float, float, float]:
+    """Logistic regression of the label on evidence and log length, over the texts with evidence:
+    (evidence, words, label, weight of the row). Newton's method with a small penalty that pulls
+    towards one term of full weight being enough."""
+    import numpy as np
+
+    prior, strength = np.array([-1.0, 1.0, 0.0]), np.array([0.5, 5.0, 5.0])
+    if not points:
+        return tuple(prior)
+    x = np.array([[1.0, e, math.log1p(n)] for e, n, _, _ in points])
+    y, w = np.array([p[2] for p in points], float), np.array([p[3] for p in points])
+    beta = prior.copy()
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        gradient = x.T @ (w * (p - y)) + strength * (beta - prior)
+        step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + np.diag(strength), gradient)
+        beta -= np.clip(step, -1, 1)
+    return tuple(float(b) for b in beta)
+
+
 def hash_of(before: str, after: str) -> int:
     """A hash that is the same in every worker."""
     import zlib
