@@ -218,9 +218,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the first of their component; one row where an id repeats. Rows
-    without an id stay."""
-    found = near_duplicates(docs, doc_id, text)
-    drop = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__drop")).distinct()
-    rest = docs.join(drop, docs[doc_id] == drop["__drop"], "left_anti")
-    return rest
+    """The documents that are the first of their component, all columns. Rows that share an id are
+    one document, which stays if one of its rows is the first; rows without an id stay."""
+    kept = F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept")
+    found = near_duplicates(docs, doc_id, text).filter("doc_id is not null").groupBy("doc_id").agg(kept)
+    drop = found.filter("not kept").select(F.col("doc_id").alias("__drop"))
+    return docs.join(drop, docs[doc_id] == drop["__drop"], "left_anti")
