@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import exact_dedup, mixing, neighbours, packing, quality, simhash, token_files, toxicity
+from tallywork.llm import exact_dedup, mixing, neighbours, packing, pitman_yor, quality, simhash, token_files, toxicity
 from tallywork.llm.common import new_folder, table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -16,6 +16,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
+def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.searched(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
@@ -66,7 +70,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_packing": op1_packing, "op3_neighbours": op3_neighbours, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_exact_dedup": op6_exact_dedup, "op7_token_files": op7_token_files,
+    "op1_packing": op1_packing, "op2_pitman_yor": op2_pitman_yor, "op3_neighbours": op3_neighbours, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_exact_dedup": op6_exact_dedup, "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing, "op10_simhash": op10_simhash,
 }
 CHECKS = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
