@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import exact_dedup, mixing, neighbours, packing, pitman_yor, quality, simhash, token_files, toxicity
+from tallywork.llm import exact_dedup, license_scan, mixing, neighbours, packing, pitman_yor, quality, simhash, token_files, toxicity
 from tallywork.llm.common import new_folder, table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -65,12 +65,54 @@ with docs as (
 select doc_id, size, source_size, target, copies * size as taken from mixed
 """
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.standard(spark))
+
+
+def listed(texts: dict[str, str]) -> str:
+    return ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(texts.items()))
+
+
+# Every shingle of every template is looked up in every text; no window is left out.
+OP9_SQL = f"""
+with given(template_id, text) as (values {listed(license_scan.TEMPLATES)}),
+raw as (
+  select 'd' as kind, doc_id::varchar as id, doc_id, text from documents
+  union all select 't', template_id, null, text from given),
+cleaned as (
+  select kind, id, doc_id, list_filter(string_split(regexp_replace(
+    translate(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:!?"''()[]*#&%$', ''),
+    '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' '), w -> w <> '') as words
+  from raw),
+sized as (select *, case when len(words) < 5 then len(words) else 5 end as own_k from cleaned where len(words) > 0),
+parts as (
+  select kind, id, doc_id, k, unnest(range(0, len(words) - k + 1)) as place, words
+  from sized, (select unnest(range(1, 6)) as k) ks
+  where k <= len(words) and case when kind = 't' then k = own_k else k in (select own_k from sized where kind = 't') end),
+shingles as (select kind, id, doc_id, k, place, array_to_string(words[place + 1 : place + k], ' ') as shingle from parts),
+templates as (
+  select id as template_id, k, count(distinct shingle) as shingles, count(*) as size, greatest(1, count(*) // 2) as step
+  from shingles where kind = 't' group by id, k),
+hits as (
+  select d.doc_id, t.template_id, t.shingles, t.step, d.shingle,
+    unnest(range(greatest(0, (d.place - t.size - t.step + 2 + t.step - 1) // t.step), d.place // t.step + 1)) as w
+  from (select distinct id, k, shingle from shingles where kind = 't') x
+  join templates t on t.template_id = x.id
+  join shingles d on d.kind = 'd' and d.k = x.k and d.shingle = x.shingle),
+held as (
+  select doc_id, template_id, w * step as start, count(distinct shingle) / max(shingles)::double as held
+  from hits group by doc_id, template_id, w, step)
+select doc_id, template_id, max(held) as containment, min(start) as at_word, count(*) as windows
+from held where held >= 0.8 group by doc_id, template_id
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_packing": op1_packing, "op2_pitman_yor": op2_pitman_yor, "op3_neighbours": op3_neighbours, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_exact_dedup": op6_exact_dedup, "op7_token_files": op7_token_files,
-    "op8_mixing": op8_mixing, "op10_simhash": op10_simhash,
+    "op8_mixing": op8_mixing, "op9_license_scan": op9_license_scan, "op10_simhash": op10_simhash,
 }
-CHECKS = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
+CHECKS = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_license_scan": OP9_SQL}
