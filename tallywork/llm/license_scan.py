@@ -103,8 +103,9 @@ def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: st
     for k, minimal in sorted(leads.items()):
         hashed = base.withColumn("hashes", shingle_hashes("words", k))
         places = F.filter(F.transform("hashes", lambda x, i: F.when(x.isin(list(minimal)), i)), lambda i: i.isNotNull())
-        hit = hashed.withColumn("places", places).filter(F.size("places") > 0)
-        hit = hit.select("*", F.explode("places").alias("place")).withColumn("lead", F.get("hashes", F.col("place")))
+        # outer: an inferred filter below would work out words and hashes again for each place
+        hit = hashed.withColumn("places", places).select("*", F.explode_outer("places").alias("place")).filter("place is not null")
+        hit = hit.withColumn("lead", F.get("hashes", F.col("place")))
         met = hit.join(F.broadcast(known.filter(F.col("k") == k)), "lead")  # bounded by MOST_MINIMA
         span = F.col("size") + F.col("step") - 1
         first = F.greatest(F.lit(0), F.ceil((F.col("place") - span + 1) / F.col("step"))).cast("int")

@@ -82,7 +82,7 @@ raw as (
 cleaned as (
   select kind, id, doc_id, list_filter(string_split(regexp_replace(
     translate(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.,;:!?"''()[]*#&%$', ''),
-    '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' '), w -> w <> '') as words
+    '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' '), lambda w: w <> '') as words
   from raw),
 sized as (select *, case when len(words) < 5 then len(words) else 5 end as own_k from cleaned where len(words) > 0),
 parts as (
