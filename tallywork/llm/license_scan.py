@@ -58,9 +58,18 @@ def shingle_texts(words_column: Column, k: Column) -> Column:
     return F.transform(places, lambda i: F.array_join(F.slice(words_column, i, k), " "))
 
 
+def minimum(hashes: Column, band: int) -> Column:
+    return F.array_min(F.transform(hashes, lambda x: F.xxhash64(x, F.lit(band))))
+
+
 def minima(hashes: Column) -> Column:
     """The least value of the shingles under each band's hash."""
-    return F.array(*[F.array_min(F.transform(hashes, lambda x, b=b: F.xxhash64(x, F.lit(b)))) for b in range(BANDS)])
+    return F.array(*[minimum(hashes, band) for band in range(BANDS)])
+
+
+def leading(hashes: Column, band: int) -> Column:
+    """The shingle that has the least value."""
+    return F.array_min(F.transform(hashes, lambda x: F.struct(F.xxhash64(x, F.lit(band)).alias("v"), x.alias("x"))))["x"]
 
 
 def arranged(templates: DataFrame) -> DataFrame:
@@ -73,9 +82,7 @@ def arranged(templates: DataFrame) -> DataFrame:
         hashes = F.when(F.col("k") == k, shingle_hashes("t_words", k)) if hashes is None else hashes.when(F.col("k") == k, shingle_hashes("t_words", k))
     own = own.withColumn("t_hashes", F.array_distinct(hashes)).withColumn("t_shingles", F.array_distinct(shingle_texts(F.col("t_words"), F.col("k"))))
     own = own.withColumn("size", F.size("t_words") - F.col("k") + 1).withColumn("step", F.greatest(F.lit(1), F.floor(F.col("size") / 2)).cast("int"))
-    # the shingle that is least in each band
-    lead = [F.array_min(F.transform("t_hashes", lambda x, b=b: F.struct(F.xxhash64(x, F.lit(b)).alias("v"), x.alias("x"))))["x"] for b in range(BANDS)]
-    return own.withColumn("t_minima", minima(F.col("t_hashes"))).withColumn("leads", F.array_distinct(F.array(*lead))).drop("t_words", "t_hashes")
+    return own.withColumn("t_minima", minima(F.col("t_hashes"))).withColumn("leads", F.array_distinct(F.array(*[leading(F.col("t_hashes"), band) for band in range(BANDS)]))).drop("t_words", "t_hashes")
 
 
 def scan(docs: DataFrame, templates: DataFrame, doc_id: str = "doc_id", text: str = "text", containment: float = CONTAINMENT) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -13,6 +14,9 @@ REMEMBERED = 800_000
 STRETCH = 4_000_000
 #: Words that go to the tokenizer as one text.
 JOINED = 64
+#: Signs that end many words, the mark put before them, and where they touch other signs.
+CLOSING, MARK = ",.", "\x01"
+UNSAFE = re.compile(r"(?:^|[\W_])[,.](?=[ \n])")
 
 
 class Memory:
@@ -31,9 +35,10 @@ class Memory:
             new = words
         known = new.intersection(self.older)
         self.recent.update(zip(known, map(self.older.__getitem__, known)))
-        new = new.difference(known)
+        new = new.difference(known, (MARK + mark for mark in CLOSING))
         plain = sorted((word for word in new if word and word.strip() == word), key=len)
         self.recent.update(dict.fromkeys(new.difference(plain)))
+        self.recent.update((MARK + mark, self.encoder.whole(mark)) for mark in CLOSING)
         groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
         tokenizer = self.encoder.tokenizer
         for start in range(0, len(groups), 256):
@@ -73,6 +78,15 @@ class WordwiseEncoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def eased(self, text: str) -> str:
+        """The text with commas and full stops that follow a letter or digit, and end a word, as
+        words of their own, marked so that they get the ids they have without a space."""
+        if MARK in text or UNSAFE.search(text):
+            return text
+        for mark in CLOSING:
+            text = text.replace(mark + " ", f" {MARK}{mark} ").replace(mark + "\n", f" {MARK}{mark}\n")
+        return text
+
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         stretch: list[str] = []
         size = 0
@@ -85,25 +99,30 @@ class WordwiseEncoder:
         yield from self._stretch(stretch)
 
     def _stretch(self, texts: list[str]) -> Iterator[bytes]:
+        eased = list(map(self.eased, texts))
         if self.keeps_space:
-            lines = [[line.split(" ") for line in text.split("\n")] for text in texts]
+            lines = [[line.split(" ") for line in text.split("\n")] for text in eased]
             heads = [[line.pop(0) for line in text] for text in lines]
             self.heads.learn(set().union(*heads))
             self.words.learn(set().union(*[line for text in lines for line in text]))
             word, head = self.words.recent.__getitem__, self.heads.recent.__getitem__
             for text, starts, rests in zip(texts, heads, lines):
                 try:
+                    if MARK in text:
+                        raise TypeError
                     yield self.line_end.join([head(s) + b"".join(map(word, rest)) for s, rest in zip(starts, rests)])
                 except TypeError:  # a word that can't stand alone
                     yield self.whole(text)
         else:
-            split = [text.replace("\n", " ").split(" ") for text in texts]
+            split = [text.replace("\n", " ").split(" ") for text in eased]
             self.words.learn(set().union(*split))
             recent = self.words.recent
             recent[""] = b""
             word = recent.__getitem__
             for text, words in zip(texts, split):
                 try:
+                    if MARK in text:
+                        raise TypeError
                     yield b"".join(map(word, words))
                 except TypeError:
                     yield self.whole(text)
