@@ -4,22 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.text import clean_list, leading_number, list_items, list_size, normalize_nulls, parse_timestamp
-from tallywork.operators.skew import HOT_ROWS, number_rows
 
 
-def clean_order_items(orders: DataFrame, slices: Sequence[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
+def clean_order_items(orders: DataFrame) -> DataFrame:
     """Tokens to NULL, blanks out of the lists, and a number for every item of an order.
 
-    Items are numbered by product, then by their lists; equal items are alike, so
-    it does not matter which of them comes first."""
+    Items are numbered by product (NULL last), then by their lists. Equal items are alike, so
+    they are counted first; the window sees one row per order, product and lists, and every
+    count is spread again into its numbers."""
     cleaned = orders.withColumns({"exclusions": clean_list(F.col("exclusions")), "extras": clean_list(F.col("extras"))})
-    keyed = cleaned.withColumns({"_ex": F.coalesce("exclusions", F.lit("")), "_xt": F.coalesce("extras", F.lit(""))})
-    numbered = number_rows(keyed, ["order_id"], ["pizza_id", "_ex", "_xt"], "order_item_id", slices, hot_rows)
-    return numbered.drop("_ex", "_xt")
+    alike = cleaned.groupBy(*cleaned.columns).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col("pizza_id").asc_nulls_last(), F.coalesce("exclusions", F.lit("")), F.coalesce("extras", F.lit(""))]
+    last = F.sum("_n").over(Window.partitionBy("order_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    numbers = F.sequence(F.col("_last") - F.col("_n") + 1, F.col("_last"))
+    return alike.withColumn("_last", last).withColumn("order_item_id", F.explode(numbers)).drop("_n", "_last")
 
 
 def list_sizes(items: DataFrame) -> DataFrame:

@@ -26,24 +26,27 @@ def flatten_three_levels(nodes: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def paths(nodes: DataFrame, sep: str = " > ", max_depth: int = 50) -> DataFrame:
+def paths(nodes: DataFrame, sep: str = " > ") -> DataFrame:
     """Root, depth and path of every node below a root, for any number of levels.
 
-    One join per level. Each level is written to the checkpoint folder, so a plan
-    never spans more than one of them."""
+    One join per level, as many as the data have; the driver only learns whether a level is
+    empty. Each level is written to the checkpoint folder, so a plan never spans more than one of
+    them. A node that comes back below itself is a cycle and an error."""
     edges = nodes.select("id", "parent_id", "level_text")
     level = edges.filter(F.col("parent_id").isNull()).select(
-        "id", F.col("id").alias("root_id"), F.lit(1).alias("depth"), F.col("level_text").alias("path")
+        "id", F.col("id").alias("root_id"), F.lit(1).alias("depth"), F.col("level_text").alias("path"), F.array("id").alias("_trail")
     )
-    found = level
-    for _ in range(1, max_depth):
-        parents = level.select(F.col("id").alias("parent_id"), "root_id", "depth", "path")
+    found = level.drop("_trail")
+    while True:
+        parents = level.select(F.col("id").alias("parent_id"), "root_id", "depth", "path", "_trail")
+        back = F.array_contains("_trail", F.col("id"))
+        cycle = F.raise_error(F.concat(F.lit("the hierarchy has a cycle at node "), F.col("id").cast("string")))
         level = cut_lineage(
             edges.join(parents, "parent_id").select(
-                "id", "root_id", (F.col("depth") + 1).alias("depth"), F.concat_ws(sep, "path", "level_text").alias("path")
+                "id", "root_id", (F.col("depth") + 1).alias("depth"), F.concat_ws(sep, "path", "level_text").alias("path"),
+                F.when(back, cycle.cast("array<bigint>")).otherwise(F.concat("_trail", F.array("id"))).alias("_trail"),
             )
         )
         if level.isEmpty():
             return found
-        found = found.unionByName(level)
-    raise ValueError(f"hierarchy deeper than {max_depth} levels, or it has a cycle")
+        found = found.unionByName(level.drop("_trail"))

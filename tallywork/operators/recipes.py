@@ -1,19 +1,18 @@
 """Order items against recipes: labels, ingredient lists and totals, prices.
 
-A topping table of up to ``INLINE_TOPPINGS`` rows becomes a map from id to name, and
-texts are built inside each row without a shuffle. A larger one is joined: ids are
-exploded, named and put together again per item."""
+Texts are built once for each different combination of lists: its ids are exploded,
+named by a join and put together again, and the items join the finished texts. A
+topping table of any size, with repeated or missing ids, takes the same way."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions.text import list_ids, list_items
+from tallywork.functions.text import list_ids
 from tallywork.operators.cleaning import tagged_elements
+from tallywork.operators.skew import join_on
 
-ITEM = ["order_id", "order_item_id", "pizza_id"]
-INLINE_TOPPINGS = 1000
 
 
 def joined_text(text: Column | str, sep: str, order: str) -> Column:
@@ -21,88 +20,68 @@ def joined_text(text: Column | str, sep: str, order: str) -> Column:
     return F.expr(f"listagg({text}, '{sep}') within group (order by {order})")
 
 
-def is_small(toppings: DataFrame, limit: int) -> bool:
-    """Whether the table has at most so many rows; reads no more than one beyond."""
-    return toppings.limit(limit + 1).count() <= limit
+def item_labels(items: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+    """``Name - Exclude: A, B - Extra: C`` for every item.
 
-
-def name_map(toppings: DataFrame) -> Column:
-    """Map id -> name of a small topping table, as a scalar."""
-    pairs = F.struct(F.col("topping_id").cast("int"), F.col("topping_name"))
-    return toppings.agg(F.map_from_entries(F.collect_list(pairs))).scalar()
-
-
-def item_labels(
-    items: DataFrame, names: DataFrame, toppings: DataFrame, inline_limit: int = INLINE_TOPPINGS
-) -> DataFrame:
-    """``Name - Exclude: A, B - Extra: C`` for every item."""
+    An id that stands twice in the topping table gives both its names; a row without id none."""
     columns = {"Exclude": "exclusions", "Extra": "extras"}
-    if is_small(toppings, inline_limit):
-        mapped = items.withColumn("_names", name_map(toppings))
-        texts = mapped.select(*ITEM, *[_list_names(F.col(c)).alias(t) for t, c in columns.items()])
-    else:
-        cells = tagged_elements({t: F.col(c) for t, c in columns.items()})
-        changes = items.select(*ITEM, F.explode_outer(cells).alias("c")).select(*ITEM, "c.change_type", "c.topping_id")
-        texts = changes.join(toppings, "topping_id", "left").groupBy(*ITEM).agg(
-            *[
-                joined_text(f"case when change_type = '{t}' then topping_name end", ", ", "topping_name").alias(t)
-                for t in columns
-            ]
-        )
+    lists = list(columns.values())
+    changed = F.greatest(*[F.col(c).isNotNull() for c in lists])
+    cells = tagged_elements({t: F.col(c) for t, c in columns.items()})
+    combos = items.filter(changed).select(*lists).distinct()
+    changes = combos.select(*lists, F.explode_outer(cells).alias("c")).select(*lists, "c.change_type", "c.topping_id")
+    texts = changes.join(toppings, "topping_id", "left").groupBy(*lists).agg(
+        *[
+            joined_text(f"case when change_type = '{t}' then topping_name end", ", ", "topping_name").alias(t)
+            for t in columns
+        ]
+    )
     parts = [F.coalesce(F.concat(F.lit(f" - {t}: "), F.col(t)), F.lit("")) for t in columns]
-    labelled = texts.join(names.select("pizza_id", "pizza_name"), "pizza_id")
+    labelled = join_on(items, texts, lists, "left").join(names.select("pizza_id", "pizza_name"), "pizza_id")
     return labelled.select("order_id", "order_item_id", F.concat("pizza_name", *parts).alias("order_string"))
 
 
-def _list_names(cell: Column) -> Column:
-    """Sorted names of the ids in a text list, by the map in ``_names``; NULL for no name."""
-    named = F.filter(F.transform(list_items(cell), lambda x: F.col("_names")[x.try_cast("int")]), lambda n: n.isNotNull())
-    return F.when(F.size(named) > 0, F.array_join(F.array_sort(named), ", "))
-
-
-def ingredients(items: DataFrame, recipes: DataFrame, keep: list[str]) -> DataFrame:
-    """Toppings of every item as an array ``toppings`` and those that count twice as
+def ingredients(combos: DataFrame, keep: list[str]) -> DataFrame:
+    """Toppings of a recipe with changes as an array ``used`` and those that count twice as
     ``doubled``: an extra that is on the recipe anyway. An extra wins over an exclusion
     of the same topping."""
-    recipe = recipes.select("pizza_id", list_ids(F.col("toppings")).alias("_recipe"))
-    sets = items.join(recipe, "pizza_id").withColumns(
-        {"_without": list_ids(F.col("exclusions")), "_with": list_ids(F.col("extras"))}
+    sets = combos.withColumns(
+        {
+            "_recipe": list_ids(F.col("toppings")),
+            "_without": list_ids(F.col("exclusions")),
+            "_with": list_ids(F.col("extras")),
+        }
     )
     kept = F.array_except("_recipe", F.array_except("_without", "_with"))
     return sets.select(
-        *keep, F.array_union(kept, F.col("_with")).alias("toppings"), F.array_intersect("_recipe", "_with").alias("doubled")
+        *keep, F.array_union(kept, F.col("_with")).alias("used"), F.array_intersect("_recipe", "_with").alias("doubled")
     )
 
 
-def ingredient_lists(
-    items: DataFrame, recipes: DataFrame, names: DataFrame, toppings: DataFrame, inline_limit: int = INLINE_TOPPINGS
-) -> DataFrame:
+def ingredient_lists(items: DataFrame, recipes: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
     """Ingredients of every item as one text in alphabetical order."""
-    used = ingredients(items, recipes, ITEM)
+    lists = ["toppings", "exclusions", "extras"]
+    full = items.join(recipes.select("pizza_id", "toppings"), "pizza_id")
+    combos = full.select(*lists).distinct()
+    used = ingredients(combos, lists)
+    rows = used.select(*lists, "doubled", F.explode_outer("used").alias("topping_id"))
     twice = F.array_contains("doubled", F.col("topping_id"))
-    if is_small(toppings, inline_limit):
-        entries = F.transform(
-            "toppings",
-            lambda x: F.struct(F.col("_names")[x].alias("name"), F.array_contains("doubled", x).alias("twice")),
-        )
-        known = F.array_sort(F.filter(entries, lambda e: e["name"].isNotNull()))
-        words = F.transform(known, lambda e: F.concat(F.when(e["twice"], "2x").otherwise(""), e["name"]))
-        text = F.when(F.size(known) > 0, F.array_join(words, ", "))
-        lists = used.withColumn("_names", name_map(toppings)).select(*ITEM, text.alias("ingredients"))
-    else:
-        rows = used.select(*ITEM, "doubled", F.explode_outer("toppings").alias("topping_id"))
-        named = rows.withColumn("twice", twice).join(toppings, "topping_id", "left")
-        word = "case when twice then '2x' || topping_name else topping_name end"
-        lists = named.groupBy(*ITEM).agg(joined_text(word, ", ", "topping_name").alias("ingredients"))
-    labelled = lists.join(names.select("pizza_id", "pizza_name"), "pizza_id")
+    named = rows.withColumn("twice", twice).join(toppings, "topping_id", "left")
+    word = "case when twice then '2x' || topping_name else topping_name end"
+    texts = named.groupBy(*lists).agg(joined_text(word, ", ", "topping_name").alias("ingredients"))
+    labelled = join_on(full, texts, lists, "left").join(names.select("pizza_id", "pizza_name"), "pizza_id")
     return labelled.select("order_id", "order_item_id", "pizza_name", "ingredients")
 
 
 def ingredient_totals(items: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
-    """Quantity of every ingredient over all items; counts combine map-side first."""
-    rows = ingredients(items, recipes, []).select("doubled", F.explode("toppings").alias("topping_id"))
+    """Quantity of every ingredient over all items: items are counted per product and
+    lists, products then per recipe, before any array is built."""
+    lists = ["toppings", "exclusions", "extras"]
+    counts = items.groupBy("pizza_id", "exclusions", "extras").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.join(recipes.select("pizza_id", "toppings"), "pizza_id").groupBy(*lists).agg(F.sum("n").alias("n"))
+    rows = ingredients(counts, ["n"]).select("n", "doubled", F.explode("used").alias("topping_id"))
     quantity = F.when(F.array_contains("doubled", F.col("topping_id")), 2).otherwise(1)
-    totals = rows.groupBy("topping_id").agg(F.sum(quantity).alias("ingredient_count"))
+    totals = rows.groupBy("topping_id").agg(F.sum(quantity * F.col("n")).alias("ingredient_count"))
     return totals.join(toppings, "topping_id").select("topping_name", "ingredient_count")
 
 

@@ -6,10 +6,9 @@ operators here keep the work of one task bounded whatever the keys look like:
 * ``running_total`` and ``value_rank`` first add up the rows that share one
   ordering value. The window then sees one row per key and value (for dates, one
   per day), and the answer is joined back on key *and* value.
-* ``number_rows`` and ``shift_rows`` need the single rows. Keys with more than
-  ``hot_rows`` rows are cut into slices of the ordering, and each slice gets one
-  extra row that carries over what it must know of its neighbour. All other keys
-  stay in one piece.
+* ``number_rows`` and ``shift_rows`` need the single rows. Every key is cut into
+  slices of the ordering, and each slice gets one extra row that carries over what
+  it must know of its neighbour. No key is counted to see whether it is large.
 * ``join_salted`` spreads the facts of hot keys over several copies of the row they
   are joined with. Adaptive execution splits a skewed join too, but not when the
   join feeds a window or a grouping on the same key.
@@ -23,8 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key above this many rows is sliced. It also bounds the broadcast list of such
-# keys: a table of N rows has fewer than N / HOT_ROWS of them.
+# A key above this many rows is salted in ``join_salted``; the answer is the same
+# below and above. A table of N rows has fewer than N / HOT_ROWS such keys.
 HOT_ROWS = 5_000_000
 
 
@@ -46,12 +45,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return counts.filter(F.col("_rows") > hot_rows).select(*keys)
 
 
-def slice_hot(df: DataFrame, keys: Sequence[str], slices: Sequence[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_slice``: NULL for ordinary keys, the slice values for hot ones."""
-    hot = hot_keys(df, keys, hot_rows).withColumn("_hot", F.lit(True))
-    flagged = join_on(df, F.broadcast(hot), keys, "left")
-    piece = F.struct(*[s.alias(f"s{i}") for i, s in enumerate(slices)])
-    return flagged.withColumn("_slice", F.when(F.col("_hot"), piece)).drop("_hot")
+def nulls_last(columns: Sequence[Column]) -> Column:
+    """A sort key that puts NULLs last: for each column whether it is NULL, then its value."""
+    parts = [part for c in columns for part in (c.isNull(), c)]
+    return F.struct(*[part.alias(f"s{i}") for i, part in enumerate(parts)])
 
 
 def join_salted(
@@ -104,19 +101,11 @@ def value_rank(
     return join_on(df, per_value.select(*keys, order, rank.cast("bigint").alias(name)), [*keys, order])
 
 
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    name: str,
-    slices: Sequence[Column],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """``row_number`` inside a key, as bigint. ``slices`` must not fall while ``order`` rises."""
-    pieces = slice_hot(df, keys, slices, hot_rows)
-    counts = (
-        pieces.filter(F.col("_slice").isNotNull()).groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    )
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: Sequence[Column]) -> DataFrame:
+    """``row_number`` inside a key, as bigint, NULLs last. ``slices`` must not fall while
+    ``order`` rises, and be NULL only where the leading order column is."""
+    pieces = df.withColumn("_slice", nulls_last(slices))
+    counts = pieces.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         counts.withColumn("_step", F.sum("_rows").over(earlier)).filter(F.col("_step").isNotNull()).drop("_rows")
@@ -139,17 +128,16 @@ def shift_rows(
     values: dict[str, str],
     slices: Sequence[Column],
     forward: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``lead`` (forward) or ``lag`` by one row: ``values`` maps new names to columns.
 
-    ``order`` must be free of ties and NULLs inside a key; ``slices`` must not
-    fall while it rises."""
-    pieces = slice_hot(df, keys, slices, hot_rows)
+    NULLs in ``order`` come last. ``order`` must be free of ties inside a key; ``slices``
+    must not fall while it rises, and be NULL only where an order column is."""
+    pieces = df.withColumn("_slice", nulls_last(slices))
     carried_columns = list(dict.fromkeys([*order, *values.values()]))
-    row = F.struct(*carried_columns)
-    edge = F.min(row) if forward else F.max(row)
-    edges = pieces.filter(F.col("_slice").isNotNull()).groupBy(*keys, "_slice").agg(edge.alias("_edge"))
+    row, place = F.struct(*carried_columns), nulls_last([F.col(c) for c in order])
+    edge = F.min_by(row, place) if forward else F.max_by(row, place)
+    edges = pieces.groupBy(*keys, "_slice").agg(edge.alias("_edge"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
     neighbour = F.lead("_edge").over(by_slice) if forward else F.lag("_edge").over(by_slice)
     carried = (

@@ -10,21 +10,19 @@ from pyspark.sql import functions as F
 from tallywork.functions.dates import calendar_months_between
 from tallywork.functions.numbers import percent, ratio, upper_inclusive_band
 from tallywork.operators.aggregates import count_when, one_per_group
-from tallywork.operators.skew import HOT_ROWS, shift_rows
+from tallywork.operators.skew import shift_rows
 
 ORDER = ["start_date", "event_id"]
 
 
 def by_day_and_id(block: int = 100_000) -> list[Column]:
-    """Slices for the histories of very active customers: the day, then blocks of ids."""
+    """Slices of a history: the day, then blocks of ids."""
     return [F.col("start_date"), F.floor(F.col("event_id") / block)]
 
 
-def next_plans(subs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def next_plans(subs: DataFrame) -> DataFrame:
     """Every subscription with the plan that follows it by date."""
-    return shift_rows(
-        subs, ["customer_id"], ORDER, {"next_plan_id": "plan_id"}, by_day_and_id(), forward=True, hot_rows=hot_rows
-    )
+    return shift_rows(subs, ["customer_id"], ORDER, {"next_plan_id": "plan_id"}, by_day_and_id())
 
 
 def customers(subs: DataFrame) -> Column:
@@ -171,11 +169,10 @@ def recurring_payments(subs: DataFrame, plans: DataFrame, last_day: str, monthly
     started = shift_rows(subs, ["customer_id"], ORDER, {"next_start": "start_date"}, by_day_and_id()).join(plans, "plan_id")
     priced = started.filter((F.col("price") > 0) & (F.col("start_date") <= until))
     end = F.least(until, F.coalesce(F.date_sub("next_start", 1), until))
-    months = F.floor(F.months_between(end, F.col("start_date"))).cast("int")
-    steps = F.when(F.col("plan_name").isin(*monthly) & (months > 0), months).otherwise(0)
-    paid = priced.withColumn("step", F.explode(F.sequence(F.lit(0), steps)))
-    return paid.select(
-        "customer_id", "event_id", "plan_name", F.add_months("start_date", F.col("step")).alias("payment_date"), "price"
-    )
-
-
+    months = (F.year(end) - F.year("start_date")) * 12 + F.month(end) - F.month("start_date")
+    steps = F.when(F.col("plan_name").isin(*monthly), F.greatest(months, F.lit(0))).otherwise(0)
+    paid = priced.withColumn("_end", end).withColumn("step", F.explode(F.sequence(F.lit(0), steps)))
+    paid = paid.withColumn("payment_date", F.add_months("start_date", F.col("step")))
+    # the day of the last month may lie beyond the end: 30 January, 29 February, 30 March
+    paid = paid.filter((F.col("step") == 0) | (F.col("payment_date") <= F.col("_end")))
+    return paid.select("customer_id", "event_id", "plan_name", "payment_date", "price")

@@ -51,10 +51,14 @@ def preview(df: DataFrame, order: list[str], n: int = 100) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names; a temporary one only
-    where none is named (tests, one machine)."""
+    """Reliable checkpoint in the folder that ``spark.checkpoint.dir`` names. A session on one
+    machine may go without one; on a cluster, whose executors share no temporary folder, that is
+    an error."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallywork-"))
+        if folder is None and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tallywork-"))
     return df.checkpoint()

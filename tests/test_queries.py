@@ -8,9 +8,10 @@ import pytest
 from compare import check, connect
 
 import __spark_entry__ as entry
+from tallywork.plans.catalog import registry
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = registry().queries, registry().checks
 
 # Nodes a plan must not contain: pairs of all rows, and Python in the hot path.
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroups")

@@ -75,3 +75,16 @@ def test_recurring_payments(spark, subs):
     paid = sb.recurring_payments(subs, plans(spark), "2020-12-31", ("basic monthly", "pro monthly"))
     counts = {r[0]: r[1] for r in paid.groupBy("customer_id").count().collect()}
     assert counts == {1: 5, 3: 5, 4: 8, 5: 1, 6: 1}
+
+
+def test_recurring_payments_at_month_ends(spark):
+    """The day of the month moves to the last one of a short month."""
+    history = [(1, 1, 2, "2024-01-30"), (1, 2, 4, "2024-03-01"), (2, 3, 2, "2023-01-29"), (2, 4, 4, "2023-02-28"),
+               (3, 5, 2, "2023-01-31"), (3, 6, 4, "2023-03-01"), (4, 7, 2, "2023-12-31")]
+    subs = spark.createDataFrame(history, "customer_id int, event_id int, plan_id int, day string")
+    subs = subs.withColumn("start_date", F.to_date("day")).drop("day")
+    paid = sb.recurring_payments(subs, plans(spark), "2024-02-28", ("pro monthly",)).filter("plan_name = 'pro monthly'")
+    got = sorted((r.customer_id, str(r.payment_date)) for r in paid.collect())
+    assert got == [(1, "2024-01-30"), (2, "2023-01-29"), (3, "2023-01-31"), (3, "2023-02-28"), (4, "2023-12-31"), (4, "2024-01-31")]
+    later = sb.recurring_payments(subs, plans(spark), "2024-12-31", ("pro monthly",)).filter("customer_id = 1")
+    assert sorted(str(r.payment_date) for r in later.collect() if r.plan_name == "pro monthly") == ["2024-01-30", "2024-02-29"]
