@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.numbers import percent, ratio
 from tallywork.operators.recipes import joined_text
+from tallywork.sources.tables import cut_lineage
 
 
 def revenue() -> Column:
@@ -77,14 +78,49 @@ def basket_texts(lines: DataFrame, products: DataFrame, at_least: int) -> DataFr
     return baskets.filter(F.col("items") >= at_least)
 
 
-def frequent_sets(lines: DataFrame, products: DataFrame, size: int, min_share: float) -> DataFrame:
-    """Item sets of one size found in at least ``min_share`` of the transactions.
-
-    Frequent-pattern growth works on prefix trees; it does not list the combinations
-    inside a transaction."""
-    names = lines.join(products.select("product_id", "product_name"), "product_id")
-    baskets = names.groupBy("txn_id").agg(F.collect_set("product_name").alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=min_share).fit(baskets).freqItemsets
-    return found.filter(F.size("items") == size).select(
-        F.array_join(F.array_sort("items"), ", ").alias("product_combi"), F.col("freq").alias("transactions")
+def frequent_sets(lines: DataFrame, products: DataFrame, size: int) -> DataFrame:
+    """Item sets of one size with the number of their transactions; always the most frequent ones.
+
+    No item set is more frequent than its rarest item, so the search starts at the count of the
+    ``size``-th most frequent item and halves it until a set is found. All sets above the last
+    count are found then, the most frequent ones among them. Frequent-pattern growth works on
+    prefix trees; it does not list the combinations inside a transaction. The baskets are
+    written to the checkpoint folder for the passes over them."""
+    names = lines.join(products.select("product_id", "product_name"), "product_id").select("txn_id", "product_name").distinct()
+    baskets = cut_lineage(names.groupBy("txn_id").agg(F.collect_set("product_name").alias("items")))
+    counts = baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.orderBy(F.col("n").desc(), "item"))
+    least = counts.withColumn("rank", rank).filter(F.col("rank") == size).select("n").first()
+    total, count = baskets.count(), least["n"] if least else 0
+    while count:
+        found = FPGrowth(itemsCol="items", minSupport=(count - 0.5) / total).fit(baskets).freqItemsets
+        found = found.filter(F.size("items") == size)
+        if count == 1 or not found.isEmpty():
+            return found.select(
+                F.array_join(F.array_sort("items"), ", ").alias("product_combi"), F.col("freq").alias("transactions")
+            )
+        count //= 2
+    return baskets.select(F.lit("").alias("product_combi"), F.lit(0).cast("bigint").alias("transactions")).limit(0)
+
+
+def report(lines: DataFrame, products: DataFrame, period: str, member: str) -> DataFrame:
+    """The figures of a study per period: sums, transactions, discounts, baskets, the members'
+    share of revenue and the product with the largest revenue (ties by name)."""
+    is_member = F.col("flag") == member
+    sums = lines.groupBy(period, "txn_id").agg(
+        F.sum("qty").alias("q"), F.sum(revenue()).alias("r"), F.sum(F.when(is_member, revenue()).otherwise(0)).alias("mr"), F.count(F.lit(1)).alias("n")
+    )
+    totals = sums.groupBy(period).agg(
+        F.sum("q").alias("total_qty"), F.sum("r").alias("r"), F.sum("mr").alias("mr"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("transactions")
     )
+    given = lines.select(period, "txn_id", "discount").distinct().groupBy(period).agg(F.sum("discount").alias("d"), F.count(F.lit(1)).alias("dn"))
+    sold = lines.groupBy(period, "product_id").agg(F.sum(revenue()).alias("pr"))
+    kinds = sold.groupBy(period).agg(F.count("product_id").alias("products"))
+    named = sold.join(products.select("product_id", "product_name"), "product_id").groupBy(period, "product_name").agg(F.sum("pr").alias("pr"))
+    best = named.groupBy(period).agg(F.min_by("product_name", F.struct((-F.col("pr")).alias("r"), "product_name")).alias("top_product"))
+    joined = totals.join(given, period).join(kinds, period).join(best, period, "left")
+    return joined.select(
+        period, "total_qty", F.col("r").alias("total_revenue"), "transactions", "products", F.col("d").alias("total_discount"),
+        ratio(F.col("d"), F.col("dn"), 4).alias("avg_discount"), ratio(F.col("n"), F.col("transactions"), 2).alias("avg_txn_product_count"),
+        percent(F.col("mr"), F.col("r"), 2).alias("member_revenue_pct"), "top_product",
+    )

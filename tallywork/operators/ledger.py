@@ -126,18 +126,24 @@ def simple_interest(txns: DataFrame, rate: str) -> DataFrame:
 
 
 def compound_interest(txns: DataFrame, rate: float, base: str) -> DataFrame:
-    """Balance at each month end when interest is added every day.
+    """Balance at each month end when interest is added every day, for every month from a
+    customer's first transaction to the last month of the data.
 
-    Every amount grows from its own day on, so a month end is a sum of amounts
-    discounted to one base day, grown again to that month end."""
+    Every amount grows from its own day on, so a month end is a sum of amounts discounted to one
+    base day, grown again to that month end. Factors are decimals, so the sum has one value in
+    whatever order it is made."""
     daily = 1 + rate / 365
-    end = F.last_day("txn_date")
-    factor = F.pow(F.lit(daily), F.datediff(F.lit(base).cast("date"), F.col("txn_date")))
-    per_month = txns.groupBy("customer_id", end.alias("month_end")).agg(
-        F.sum(signed().cast("double") * factor).alias("_discounted")
+    last = txns.agg(F.max(month_start(F.col("txn_date")))).scalar()
+    to_base = F.datediff(F.lit(base).cast("date"), F.col("txn_date"))
+    factor = F.pow(F.lit(daily), to_base).cast("decimal(19,17)")
+    per_month = txns.groupBy("customer_id", month_start(F.col("txn_date")).alias("month")).agg(
+        F.sum(signed().cast("decimal(16,2)") * factor).alias("_discounted")
     )
-    window = Window.partitionBy("customer_id").orderBy("month_end")
-    grown = F.sum("_discounted").over(window) * F.pow(
-        F.lit(daily), F.datediff(F.col("month_end"), F.lit(base).cast("date"))
+    months = Window.partitionBy("customer_id").orderBy("month")
+    sums = per_month.withColumns(
+        {"_sum": F.sum("_discounted").over(months), "_to": F.coalesce(F.add_months(F.lead("month").over(months), -1), last)}
     )
-    return per_month.select("customer_id", "month_end", F.round(grown, 2).alias("balance_with_interest"))
+    step = F.make_ym_interval(F.lit(0), F.lit(1))
+    spine = sums.withColumn("_month", F.explode(F.sequence("month", "_to", step))).withColumn("month_end", F.last_day("_month"))
+    grown = F.col("_sum").cast("double") * F.pow(F.lit(daily), F.datediff(F.col("month_end"), F.lit(base).cast("date")))
+    return spine.select("customer_id", "month_end", F.round(grown, 2).alias("balance_with_interest"))

@@ -34,6 +34,16 @@ def join_on(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in columns])
 
 
+def full_join(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Full outer join in which NULL matches NULL; a key comes from the side that has it."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in columns})
+    condition = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in columns])
+    joined = left.join(renamed, condition, "full")
+    keys = [F.coalesce(left[c], renamed[f"_r_{c}"]).alias(c) for c in columns]
+    others = [left[c] for c in left.columns if c not in columns] + [right[c] for c in right.columns if c not in columns]
+    return joined.select(*keys, *others)
+
+
 def ordering(columns: Sequence[str], descending: bool = False) -> list[Column]:
     """Sort order with NULLs last going up and first going down."""
     return [F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last() for c in columns]

@@ -240,7 +240,8 @@ with {spans}
 select cast(date_trunc('month', day) as date) as month, {sql_ratio('sum(balance) * 6', '36500', 2)} as interest
 from (select balance, unnest(range(d0, d1, interval 1 day)) as day from spans) t group by 1""")
     r.add("compound_interest", on_txns(lg.compound_interest, 0.06, "1995-01-01"), "v_txns", f"""
-with moved as (select distinct customer_id, last_day(txn_date) as month_end from v_txns)
-select m.customer_id, m.month_end,
-       round(sum(cast({sign} as double) * pow(1 + 0.06::double / 365, m.month_end - t.txn_date)), 2) as balance_with_interest
-from moved m join v_txns t on t.customer_id = m.customer_id and t.txn_date <= m.month_end group by 1, 2""")
+with known as (select customer_id, min(txn_date) as since, (select max(last_day(txn_date)) from v_txns) as until from v_txns group by 1),
+ends as (select customer_id, last_day(unnest(range(date_trunc('month', since), until + 1, interval 1 month))::date) as month_end from known)
+select e.customer_id, e.month_end,
+       round(sum(cast({sign} as double) * pow(1 + 0.06::double / 365, e.month_end - t.txn_date)), 2) as balance_with_interest
+from ends e join v_txns t on t.customer_id = e.customer_id and t.txn_date <= e.month_end group by 1, 2""")

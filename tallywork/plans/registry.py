@@ -52,6 +52,8 @@ def with_views(names: list[str], sql: str) -> str:
     if not ordered:
         return body
     head = ",\n".join(f"{name} as ({VIEWS[name][1].strip()})" for name in ordered)
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {head},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {head},\n{body[5:]}"
     return f"with {head}\n{body}"

@@ -88,3 +88,9 @@ def test_empty(facts):
     nothing = facts.filter(F.lit(False))
     assert skew.number_rows(nothing, ["key"], ["day"], "n", [F.col("day")]).count() == 0
     assert skew.shift_rows(nothing, ["key"], ["day"], {"x": "value"}, [F.col("day")]).count() == 0
+
+
+def test_full_join(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, l string")
+    right = spark.createDataFrame([(2, "x"), (3, "y"), (None, "z")], "k int, r string")
+    assert rows(skew.full_join(left, right, ["k"])) == sorted([(1, "a", None), (2, "b", "x"), (3, None, "y"), (None, "n", "z")], key=str)
