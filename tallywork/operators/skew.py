@@ -68,12 +68,15 @@ def join_salted(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     salts: int = 256,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left equi join of facts with few rows per key on the right.
 
-    The salt is a hash of the whole fact, so a task that runs again sends every fact
+    Hot keys are those of ``counted``, a narrower table with the same keys, so that the facts need
+    not be read to find them; without one the facts are counted. Which keys are hot changes no
+    row. The salt is a hash of the whole fact, so a task that runs again sends every fact
     to the same place."""
-    hot = F.broadcast(hot_keys(facts, keys, hot_rows).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(facts if counted is None else counted, keys, hot_rows).withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     spread = F.col("_hot")
     for key in keys:  # rows without a key match nothing and may all be spread

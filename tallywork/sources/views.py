@@ -59,6 +59,11 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def buyers(spark: SparkSession, folder: str) -> DataFrame:
+    """The buyer of every order: as narrow a table as shows who buys most."""
+    return load(spark, folder, "orders").select(F.col("o_custkey").alias("customer_id"))
+
+
 def members(spark: SparkSession, folder: str) -> DataFrame:
     """Frequent buyers; they join one year after their first order."""
     return (
