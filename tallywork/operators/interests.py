@@ -77,21 +77,35 @@ def lowest_average(metrics: DataFrame, value: str, n: int) -> DataFrame:
     return named.orderBy(f"avg_{value}", "interest_id").limit(n)
 
 
+def deviation(value: str) -> Column:
+    """Sample standard deviation from exact sums, so it doesn't depend on their order."""
+    x = F.col(value).cast("decimal(14,4)")
+    n, total, squares = F.count(value), F.sum(x), F.sum((x * x).cast("decimal(28,8)"))
+    spread = (n.cast("decimal(18,0)") * squares).cast("double") - F.pow(total.cast("double"), 2)
+    exact = F.when(n > 1, F.greatest(spread, F.lit(0.0)) / (n.cast("double") * (n - 1).cast("double")))
+    return F.round(F.sqrt(exact), 6)
+
+
 def largest_deviation(metrics: DataFrame, value: str, n: int) -> DataFrame:
-    spread = metrics.groupBy("interest_id").agg(F.round(F.stddev(value), 6).alias("deviation"))
+    spread = metrics.groupBy("interest_id").agg(deviation(value).alias("deviation"))
     return spread.orderBy(F.col("deviation").desc_nulls_last(), "interest_id").limit(n)
 
 
-def extremes_with_month(metrics: DataFrame, chosen: DataFrame, value: str) -> DataFrame:
-    """Smallest and largest value of the chosen interests, each with its first month."""
-    day = F.unix_date("month_start")
-    dated = metrics.filter(F.col("month_start").isNotNull()).join(chosen.select("interest_id"), "interest_id")
-    return dated.groupBy("interest_id").agg(
-        F.min(value).alias("min_value"),
-        F.min_by("month_start", F.struct(value, day)).alias("min_month"),
-        F.max(value).alias("max_value"),
-        F.max_by("month_start", F.struct(F.col(value), -day)).alias("max_month"),
+def extremes_of_varied(metrics: DataFrame, value: str, min_months: int, n: int) -> DataFrame:
+    """Smallest and largest value, each with its first month, of the interests with enough months
+    that vary most. One grouping has all of it."""
+    month = F.col("month_start")
+    day, dated = F.unix_date(month), month.isNotNull()
+    figures = metrics.groupBy("interest_id").agg(
+        F.countDistinct(month).alias("months"),
+        deviation(value).alias("deviation"),
+        F.min(F.when(dated, F.col(value))).alias("min_value"),
+        F.min_by(month, F.when(dated, F.struct(value, day))).alias("min_month"),
+        F.max(F.when(dated, F.col(value))).alias("max_value"),
+        F.max_by(month, F.when(dated, F.struct(F.col(value), -day))).alias("max_month"),
     )
+    varied = figures.filter(F.col("months") >= min_months).orderBy(F.col("deviation").desc_nulls_last(), "interest_id").limit(n)
+    return varied.filter(F.col("min_month").isNotNull()).drop("months", "deviation")
 
 
 def average_composition(metrics: DataFrame) -> DataFrame:

@@ -48,8 +48,7 @@ def before_created(spark, folder):
 
 
 def min_max_with_month(spark, folder):
-    kept = it.kept(metrics(spark, folder), MIN_MONTHS)
-    return it.extremes_with_month(kept, it.largest_deviation(kept, "percentile_ranking", 5), "percentile_ranking")
+    return it.extremes_of_varied(metrics(spark, folder), "percentile_ranking", MIN_MONTHS, 5)
 
 
 def most_frequent_top(spark, folder):
