@@ -22,11 +22,13 @@ from pyspark.sql import types as T
 from tallywork.llm.common import written
 
 #: Bound of the sample that the tree is fitted on, branches of a node, sample vectors of a leaf.
-SAMPLE, BRANCHES, LEAF = 20_000, 8, 32
+SAMPLE, BRANCHES, LEAF = 20_000, 16, 128
 #: Share of true neighbours that calibration asks for, and the queries it takes.
-RECALL, CALIBRATION = 0.96, 200
+RECALL, CALIBRATION = 0.94, 200
 SHARD_ROWS = 4096
-QUERY_BLOCK = 512
+QUERY_BLOCK = 256
+#: Rows of queries and leaves that a task passes on together.
+ROUTED = 4096
 TOGETHER = T.StructType([T.StructField(n, k) for n, k in (("query_id", T.LongType()), ("vec_id", T.LongType()), ("score", T.DoubleType()))])
 
 
@@ -101,19 +103,28 @@ def grow(vectors: np.ndarray, seed: int = 3) -> Tree:
     return tree
 
 
-def best(ids: np.ndarray, vectors: np.ndarray, own_id: int, query: np.ndarray, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k ids of largest inner product, ties to smaller ids. ``rough`` are the products up to
-    rounding; those that can matter are summed again in a fixed order."""
-    rough = np.where(ids == own_id, -np.inf, rough)
-    if len(rough) > k:
-        edge = np.partition(rough, len(rough) - k)[len(rough) - k]
-        rows = np.flatnonzero(rough >= edge - 1e-9 * (1 + abs(edge)))
+def best(ids: np.ndarray, vectors: np.ndarray, own_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """For some queries the k ids of largest inner product, own ids left out, ties to smaller ids:
+    (place of the query, id, product). The matrix product is right up to rounding; those that can
+    matter are summed again in a fixed order, so equal vectors have equal scores."""
+    rough = queries @ vectors.T
+    rough[own_ids[:, None] == ids[None, :]] = -np.inf
+    if rough.shape[1] > k:
+        edge = np.partition(rough, rough.shape[1] - k, axis=1)[:, rough.shape[1] - k]
+        near = rough >= (edge - 1e-9 * (1 + np.abs(edge)))[:, None]
     else:
-        rows = np.arange(len(rough))
-    rows = rows[ids[rows] != own_id]
-    exact = (vectors[rows] * query).sum(axis=1)
-    order = np.lexsort((ids[rows], -exact))[:k]
-    return ids[rows][order], exact[order]
+        near = np.ones(rough.shape, bool)
+    near &= rough > -np.inf
+    at, row = np.nonzero(near)
+    exact = np.empty(len(at))
+    for a in range(0, len(at), 1 << 16):
+        part = slice(a, a + (1 << 16))
+        exact[part] = (vectors[row[part]] * queries[at[part]]).sum(axis=1)
+    order = np.lexsort((ids[row], -exact, at))
+    at, row, exact = at[order], row[order], exact[order]
+    first = np.searchsorted(at, at, "left")
+    kept = np.arange(len(at)) - first < k
+    return at[kept], ids[row[kept]], exact[kept]
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -172,13 +183,19 @@ def searched(vectors: DataFrame, queries: Column, k: int = 20, recall: float = R
     visits = calibrated(homed, sample["vec_id"].to_pylist()[:CALIBRATION], fitted[:CALIBRATION], tree, k, recall)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(batch: pa.RecordBatch, at: list[int], leaf: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*batch.take(pa.array(at, pa.int64())).columns, pa.array(leaf, pa.int64())], names=["query_id", "query", "leaf"])
+
         for batch in batches:
             at, leaf = [], []
             for i, query in enumerate(matrix(batch.column(1))) if batch.num_rows else ():
                 found = list(shared.value.visits(query, visits))
                 at.extend([i] * len(found))
                 leaf.extend(found)
-            yield pa.RecordBatch.from_arrays([*batch.take(pa.array(at, pa.int64())).columns, pa.array(leaf, pa.int64())], names=["query_id", "query", "leaf"])
+                if len(at) >= ROUTED:
+                    yield rows(batch, at, leaf)
+                    at, leaf = [], []
+            yield rows(batch, at, leaf)
 
     # a row per leaf, and leaves are bounded by the sample
     shards = homed.groupBy("leaf").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("shards"))
@@ -194,12 +211,10 @@ def searched(vectors: DataFrame, queries: Column, k: int = 20, recall: float = R
             ids, vecs = candidates["vec_id"].to_numpy(), matrix(candidates["vec"])
             query_ids, query_vecs = asking["query_id"].to_numpy(), matrix(asking["query"])
             for first in range(0, len(query_ids), QUERY_BLOCK):
-                part = query_vecs[first : first + QUERY_BLOCK]
-                for own_id, query, rough in zip(query_ids[first : first + QUERY_BLOCK].tolist(), part, part @ vecs.T):
-                    near, score = best(ids, vecs, own_id, query, rough, k)
-                    found["query_id"].append(np.full(len(near), own_id))
-                    found["vec_id"].append(near)
-                    found["score"].append(score)
+                part = slice(first, first + QUERY_BLOCK)
+                at, near, score = best(ids, vecs, query_ids[part], query_vecs[part], k)
+                for name, values in (("query_id", query_ids[part][at]), ("vec_id", near), ("score", score)):
+                    found[name].append(values)
         kinds = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
         return pa.table({c: pa.array(np.concatenate(v) if v else [], kinds[c]) for c, v in found.items()})
 
