@@ -49,7 +49,7 @@ KINDS = "bucket long, chunk long, counts binary, entries binary"
 
 def squeezed(*arrays: np.ndarray) -> bytes:
     heads = np.array([len(a) for a in arrays], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(heads + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=3).compress(heads + b"".join(a.tobytes() for a in arrays))
 
 
 def unsqueezed(raw: bytes, *kinds: str) -> list[np.ndarray]:
@@ -90,7 +90,12 @@ def counted(buckets: int, hot: frozenset[int]):
         hashes = np.array([hash_of(w) for w in words], np.uint64)
         classes = np.array([context_of(w) for w in words], np.uint64)
         lengths = np.array(sizes)
-        w = np.concatenate(tokens)
+        rank = np.empty(len(words), np.int64)
+        by_hash = np.argsort(hashes)
+        rank[by_hash] = np.arange(len(words))
+        hashes, classes = hashes[by_hash], classes[by_hash]
+        w = rank[np.concatenate(tokens)]
+        tokens.clear()
         doc = np.repeat(np.arange(len(ids), dtype=np.uint64), lengths)
         u = np.zeros(len(w), np.uint64)
         u[1:] = classes[w[:-1]]
@@ -124,7 +129,7 @@ def counted(buckets: int, hot: frozenset[int]):
             own_words = hashes[entry_word[a:b][starts].astype(np.int64)].astype("<u8")
             yield {
                 "bucket": int(entry_bucket[a]), "chunk": number, "counts": None,
-                "entries": squeezed(own_words, per_word, entry_context[a:b], d[a:b] | held_bits[d[a:b]], count[a:b]),
+                "entries": squeezed(np.diff(own_words, prepend=np.uint64(0)), per_word, entry_context[a:b], d[a:b] | held_bits[d[a:b]], count[a:b]),
             }
         table = pa.table({"doc_id": pa.array(ids, id_type), "held": pa.array(held, pa.bool_()), "n": pa.array(sizes, pa.int64())})
         sink = pa.BufferOutputStream()
@@ -172,12 +177,12 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def merged(bucket: int, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
         parts = [unsqueezed(raw, "<u8", "<u4", "<u2", "<u2", "<u4") for _, raw in held]
-        sizes = [len(p[2]) for p in parts]
-        words, word = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        word = np.repeat(word, np.concatenate([p[1] for p in parts]))
-        context, doc, count = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
-        chunk = np.repeat(np.arange(len(parts), dtype="<u4"), sizes)
-        key = word.astype(np.uint64) << np.uint64(13) | context
+        words, word = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
+        key = np.repeat(word.astype(np.uint64) << np.uint64(13), np.concatenate([p[1] for p in parts]))
+        key |= np.concatenate([p[2] for p in parts])
+        chunk = np.repeat(np.arange(len(parts), dtype="<u4"), [len(p[2]) for p in parts])
+        doc, count = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
+        del parts, word
         order = np.argsort(key, kind="stable")
         key = key[order]
         starts = runs(key)
@@ -354,7 +359,7 @@ def evaluated(model: Model):
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, counts, entries in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                average = 0.0
+                average = np.float64(0.0)
                 for n, tables, below, above, _, (words, per_word, word, context, count, split, place) in replay(model, bucket, counts.as_py()):
                     if not n or n >= len(model.sweeps):
                         continue
@@ -368,14 +373,13 @@ def evaluated(model: Model):
                 log_base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.words + 1)))[word]
                 known = (seen > 0)[word]
                 chunks, per_pair, chunk, doc, times = unsqueezed(entries.as_py(), "<i8", "<u4", "<u4", "<u2", "<u4")
-                pair = np.repeat(np.arange(len(per_pair)), per_pair)
-                at = chunk.astype(np.int64) << 15 | (doc & ~HELD)
-                places, at = np.unique(at, return_inverse=True)
+                pair = np.repeat(np.arange(len(per_pair), dtype=np.int32), per_pair)
+                places, at = np.unique(chunk.astype(np.int64) << 15 | (doc & ~HELD), return_inverse=True)
                 sums = [np.bincount(at, x[pair] * times, len(places)) for x in (known, log_base, log_p)]
                 edges = np.concatenate([runs(places >> 15), [len(places)]])
                 rows = []
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b].astype("<u4"), sums[1][a:b].astype("<f8"), sums[2][a:b].astype("<f8"))
+                    part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b].astype("<u4"), sums[1][a:b].astype("<f8"), sums[2][a:b].astype("<f4"))
                     rows.append((bucket, int(chunks[places[a] >> 15]), part))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
@@ -405,7 +409,7 @@ def summed(model: Model, schema: T.StructType):
                     table = pa.ipc.open_stream(entries.as_py()).read_all()
                     sums = np.zeros((3, len(table)))
                 else:
-                    doc, *parts = unsqueezed(entries.as_py(), "<u2", "<u4", "<f8", "<f8")
+                    doc, *parts = unsqueezed(entries.as_py(), "<u2", "<u4", "<f8", "<f4")
                     for i, part in enumerate(parts):
                         sums[i, doc] += part
         if table is not None:
