@@ -1,9 +1,9 @@
 """Scores of whole texts under a hierarchical Pitman-Yor language model.
 
-Each token is drawn in the restaurant of its context, a class of the word before it: short words
-are classes of their own, longer ones go by their ending, hashed to CONTEXTS classes. All context
-restaurants share one parent, the restaurant of single words, whose base is uniform over the known
-words and one unknown word. Counts cover the whole training corpus.
+Each token is drawn in the restaurant of its context, the whole word before it by its 64-bit hash;
+a text starts after an end token. All context restaurants share one parent, the restaurant of
+single words, whose base is uniform over the known words and one unknown word. Counts cover the
+whole training corpus, and there are as many restaurants as it has different words.
 
 Gibbs sweeps seat the customers of every restaurant anew, given what the last sweep left: the
 tables of each context, and the parent's probability of each word. A score takes the average over
@@ -11,13 +11,17 @@ the sweeps of the predictive probability of each token.
 
 How the work is spread. Tokens are counted where the texts are read, in chunks of documents, and
 sent out by word as packed arrays. A bucket of words then has all counts and tables of its words,
-so a sweep passes over the buckets and sends back one number per context. Very frequent words are
-split over buckets by context as well; their totals (there are at most 1 / HOT_SHARE) come back
-like those of contexts. The scores of a chunk's documents are summed by bucket and sent back to
-their chunk. Which words are split comes from a small sample and changes no result."""
+so a sweep passes over the buckets. What each has counted in its contexts is dealt out by ranges of
+the contexts' hashes, added up, and sent back to the buckets that have the context: a table of its
+own, joined to the buckets in the next pass; the buckets are stored bucketed and don't move. Very
+frequent words are split over buckets by context as well; their totals (there are at most
+1 / HOT_SHARE) go to the driver. The scores of a chunk's documents are summed by bucket and sent
+back to their chunk. Which words are split comes from a small sample and changes no result."""
 
 from __future__ import annotations
 
+import ctypes
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,12 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import text_of, written
+from tallywork.llm.common import new_folder, text_of, written
 from tallywork.llm.labelled import fold
 
-CONTEXTS = 8192
-#: Words of up to so many bytes are contexts of their own; of longer ones so many last bytes count.
-OWN_CONTEXT, ENDING = 6, 3
 SWEEPS = 3
 STRENGTH, PARENT_STRENGTH = 10.0, 10.0
 CHUNK_TOKENS, CHUNK_DOCS = 1_500_000, 1 << 13
@@ -45,6 +46,8 @@ MOST_BUCKETS = 1 << 16
 END = b" "
 HELD = np.uint16(1 << 15)
 KINDS = "bucket long, chunk long, counts binary, entries binary"
+#: Numbers that are summed over all buckets besides those of split words.
+SCALARS = 8
 
 
 def squeezed(*arrays: np.ndarray) -> bytes:
@@ -65,10 +68,13 @@ def hash_of(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, 17)
 
 
-def context_of(word: bytes) -> int:
-    """Class of a word as a context; 0 is the start of a text."""
-    key = word if len(word) <= OWN_CONTEXT else b"\n" + word[-ENDING:]
-    return 1 + xxhash.xxh32_intdigest(key, 23) % (CONTEXTS - 1)
+def halves(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers below 2^32 as low and high half, which compress apart."""
+    return (numbers & 0xFFFF).astype("<u2"), (numbers >> 16).astype("<u2")
+
+
+def whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint32) | high.astype(np.uint32) << np.uint32(16)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -81,61 +87,64 @@ def runs(key: np.ndarray) -> np.ndarray:
 
 
 def counted(buckets: int, hot: frozenset[int]):
-    """Chunks of documents as a row per bucket: word hashes, entries per word; context, document
-    (with the held-out bit) and count of each entry. A row of bucket -1 has the documents."""
+    """Chunks of documents as a row per bucket: word hashes, entries per word, context hashes;
+    context, document (with the held-out bit) and count of each entry. A row of bucket -1 - chunk
+    has the documents."""
     hot_words = np.array(sorted(hot), np.uint64)
 
     def chunk_rows(number: int, ids: list, held: list[bool], sizes: list[int], tokens: list[np.ndarray], vocabulary: dict, id_type) -> Iterator[dict]:
         words = list(vocabulary)
         hashes = np.array([hash_of(w) for w in words], np.uint64)
-        classes = np.array([context_of(w) for w in words], np.uint64)
         lengths = np.array(sizes)
         rank = np.empty(len(words), np.int64)
         by_hash = np.argsort(hashes)
         rank[by_hash] = np.arange(len(words))
-        hashes, classes = hashes[by_hash], classes[by_hash]
+        hashes = hashes[by_hash]
         w = rank[np.concatenate(tokens)]
         tokens.clear()
-        doc = np.repeat(np.arange(len(ids), dtype=np.uint64), lengths)
-        u = np.zeros(len(w), np.uint64)
-        u[1:] = classes[w[:-1]]
-        u[np.cumsum([0, *lengths[:-1]])] = 0
-        is_hot = np.isin(hashes, hot_words)
-        bucket = (hashes >> np.uint64(8)) % np.uint64(buckets)
-        own = bucket[w]
-        spread = is_hot[w]
-        own[spread] = ((hashes[w[spread]] >> np.uint64(8)) + u[spread] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(7)) % np.uint64(buckets)
-        if len(words) >> 22:  # one very long document: its words take more bits, its number none
-            order = np.lexsort((doc, u, w, own))
-            own, w, u, doc = own[order], w[order], u[order], doc[order]
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(own.astype(np.int64)) != 0) | (np.diff(w) != 0) | (np.diff(u.astype(np.int64)) != 0) | (np.diff(doc.astype(np.int64)) != 0)]))
+        doc = np.repeat(np.arange(len(ids)), lengths)
+        u = np.empty(len(w), np.int64)
+        u[1:] = w[:-1]  # at the start of a text: the end of another
+        u[0] = w[-1]
+        if len(words) >> 25:  # one very long document: words take more bits
+            order = np.lexsort((doc, u, w))
+            w, u, doc = w[order], u[order], doc[order]
+            first = np.flatnonzero(np.concatenate([[True], (np.diff(w) != 0) | (np.diff(u) != 0) | (np.diff(doc) != 0)]))
             count = np.diff(np.concatenate([first, [len(w)]])).astype("<u4")
-            entry_bucket, entry_word = own[first].astype(np.int64), w[first]
-            entry_context, d = u[first].astype("<u2"), doc[first].astype("<u2")
+            entry_word, entry_context, d = w[first], u[first], doc[first].astype("<u2")
         else:
-            key = own << np.uint64(48) | w.astype(np.uint64) << np.uint64(26) | u << np.uint64(13) | doc
+            key = w << 38 | u << 13 | doc
             key.sort()
             first = runs(key)
             count = np.diff(np.concatenate([first, [len(key)]])).astype("<u4")
             key = key[first]
-            bits = lambda shift, width: (key >> np.uint64(shift)) & np.uint64((1 << width) - 1)
-            entry_bucket, entry_word = bits(48, 16).astype(np.int64), bits(26, 22)
-            entry_context, d = bits(13, 13).astype("<u2"), bits(0, 13).astype("<u2")
+            entry_word, entry_context, d = (key >> 38).astype(np.int32), (key >> 13 & (1 << 25) - 1).astype(np.int32), (key & (1 << 13) - 1).astype("<u2")
+        own = (hashes >> np.uint64(8)) % np.uint64(buckets)
+        entry_bucket = own[entry_word]
+        spread = np.isin(hashes, hot_words)[entry_word]
+        mixed = (hashes[entry_word[spread]] >> np.uint64(8)) + (hashes[entry_context[spread]] >> np.uint64(8)) * np.uint64(0x9E3779B97F4A7C15)
+        entry_bucket[spread] = (mixed >> np.uint64(7)) % np.uint64(buckets)
+        entry_bucket = entry_bucket.astype(np.uint16)
+        order = np.argsort(entry_bucket, kind="stable").astype(np.int32)
+        del w, u, doc
+        entry_bucket, entry_word, entry_context, d, count = (x[order] for x in (entry_bucket, entry_word, entry_context, d, count))
         held_bits = np.where(held, HELD, np.uint16(0)).astype("<u2")
         edges = np.concatenate([runs(entry_bucket), [len(entry_bucket)]])
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             starts = runs(entry_word[a:b])
             per_word = np.diff(np.concatenate([starts, [b - a]])).astype("<u4")
-            own_words = hashes[entry_word[a:b][starts].astype(np.int64)].astype("<u8")
+            own_words = hashes[entry_word[a:b][starts]].astype("<u8")
+            contexts, context = np.unique(entry_context[a:b], return_inverse=True)
+            steps = np.diff(context, prepend=0).astype("<u4")
             yield {
                 "bucket": int(entry_bucket[a]), "chunk": number, "counts": None,
-                "entries": squeezed(np.diff(own_words, prepend=np.uint64(0)), per_word, entry_context[a:b], d[a:b] | held_bits[d[a:b]], count[a:b]),
+                "entries": squeezed(np.diff(own_words, prepend=np.uint64(0)), per_word, np.diff(hashes[contexts], prepend=np.uint64(0)), *halves(steps), d[a:b] | held_bits[d[a:b]], count[a:b]),
             }
         table = pa.table({"doc_id": pa.array(ids, id_type), "held": pa.array(held, pa.bool_()), "n": pa.array(sizes, pa.int64())})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema) as stream:
             stream.write_table(table)
-        yield {"bucket": -1, "chunk": number, "counts": None, "entries": sink.getvalue().to_pybytes()}
+        yield {"bucket": -1 - number, "chunk": number, "counts": None, "entries": sink.getvalue().to_pybytes()}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("counts", pa.binary()), ("entries", pa.binary())])
@@ -165,33 +174,38 @@ def counted(buckets: int, hot: frozenset[int]):
         if ids:
             for row in chunk_rows(chunk, ids, held, sizes, tokens, vocabulary, batch.column(0).type):
                 yield pa.RecordBatch.from_pylist([row], schema)
+        del ids, held, sizes, tokens, vocabulary
+        released()
 
     return count
 
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per bucket. counts: word hashes, training tokens per word; word, context and training
-    count of each pair. entries: chunks, entries per pair; chunk, document and count of each entry.
+    """A row per bucket. counts: word hashes, training tokens per word, context hashes; word, context
+    and training count of each pair. entries: chunks, entries per pair; chunk, document and count of each entry.
     Rows of documents pass through. The rows come sorted by bucket and chunk."""
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("counts", pa.binary()), ("entries", pa.binary())])
 
     def merged(bucket: int, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        parts = [unsqueezed(raw, "<u8", "<u4", "<u2", "<u2", "<u4") for _, raw in held]
+        parts = [unsqueezed(raw, "<u8", "<u4", "<u8", "<u2", "<u2", "<u2", "<u4") for _, raw in held]
         words, word = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
-        key = np.repeat(word.astype(np.uint64) << np.uint64(13), np.concatenate([p[1] for p in parts]))
-        key |= np.concatenate([p[2] for p in parts])
-        chunk = np.repeat(np.arange(len(parts), dtype="<u4"), [len(p[2]) for p in parts])
-        doc, count = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
-        del parts, word
+        contexts, context = np.unique(np.concatenate([np.cumsum(p[2], dtype=np.uint64) for p in parts]), return_inverse=True)
+        key = np.repeat(word << 32, np.concatenate([p[1] for p in parts]))
+        shift = np.cumsum([0] + [len(p[2]) for p in parts]).tolist()
+        key |= np.concatenate([context[i + np.cumsum(whole(p[3], p[4]), dtype=np.uint32).astype(np.int64)] for i, p in zip(shift, parts)])
+        chunk = np.repeat(np.arange(len(parts), dtype="<u4"), [len(p[5]) for p in parts])
+        doc, count = (np.concatenate([p[i] for p in parts]) for i in (5, 6))
+        del parts, word, context
         order = np.argsort(key, kind="stable")
         key = key[order]
         starts = runs(key)
         doc, count, chunk = doc[order], count[order], chunk[order]
         training = np.where(doc & HELD, 0, count).astype(np.int64)
         pair_count = np.add.reduceat(training, starts)
-        pair_word = (key[starts] >> np.uint64(13)).astype("<u4")
+        pair_word = (key[starts] >> 32).astype("<u4")
         per_word = np.bincount(pair_word, pair_count, len(words)).astype("<i8")
-        counts = squeezed(words, per_word, pair_word, (key[starts] & np.uint64(CONTEXTS - 1)).astype("<u2"), pair_count.astype("<i8"))
+        gaps = [np.diff(x, prepend=np.uint64(0)) for x in (words, contexts)]
+        counts = squeezed(gaps[0], per_word, gaps[1], pair_word, *halves(key[starts] & 0xFFFFFFFF), pair_count.astype("<i8"))
         per_pair = np.diff(np.concatenate([starts, [len(key)]])).astype("<u4")
         entries = squeezed(np.array([c for c, _ in held], "<i8"), per_pair, chunk, doc, count)
         return pa.RecordBatch.from_pylist([{"bucket": bucket, "chunk": -1, "counts": counts, "entries": entries}], schema)
@@ -210,12 +224,14 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append((batch.column(1)[i].as_py(), batch.column(3)[i].as_py()))
     if held:
         yield merged(now, held)
+    del held
+    released()
 
 
 @dataclass
 class Sweep:
-    """What a sweep leaves for the next: tables of each context, tables and parent's tables of
-    the words that are split, and the sums over all words."""
+    """What a sweep leaves for the next on the driver: tables of the contexts of each range, tables
+    and parent's tables of the words that are split, and the sums over all words."""
 
     context_tables: np.ndarray
     hot_tables: np.ndarray
@@ -229,7 +245,6 @@ class Model:
     hot: np.ndarray  # hashes of the words that are split, sorted
     tokens: int = 0
     words: int = 0
-    context_tokens: np.ndarray = field(default_factory=lambda: np.zeros(CONTEXTS))
     hot_counts: np.ndarray = field(default_factory=lambda: np.zeros(0))
     discount: float = 0.5
     parent_discount: float = 0.5
@@ -262,18 +277,47 @@ def seated(customers: np.ndarray, rate: np.ndarray, discount: float, r: np.rando
     return out
 
 
-def first_sweep(model: Model, stats: dict[int, int]) -> Sweep:
-    """Every pair, and every word, with one table."""
-    hot = np.array([stats.get(2 * CONTEXTS + len(model.hot) + j, 0) for j in range(len(model.hot))], float)
-    tables = np.array([stats.get(CONTEXTS + u, 0) for u in range(CONTEXTS)], float)
-    return Sweep(tables, hot, (hot > 0).astype(float), int(tables.sum()), model.words)
+def unpacked(counts: bytes) -> tuple[np.ndarray, ...]:
+    """Word hashes, training tokens per word, context hashes; word, context, count of each pair."""
+    words, per_word, contexts, word, low, high, count = unsqueezed(counts, "<u8", "<i8", "<u8", "<u4", "<u2", "<u2", "<i8")
+    return np.cumsum(words, dtype=np.uint64), per_word, np.cumsum(contexts, dtype=np.uint64), word, whole(low, high), count
+
+
+@dataclass
+class Back:
+    """What the ranges sent back for the bucket's contexts. Only contexts with a pair that some
+    bucket has more than once can change their tables; the others are not sent again."""
+
+    sums: list[dict]
+
+    def __post_init__(self):
+        self.first_tables, self.tokens, loose = self.of(0, 3)
+        self.loose = loose > 0
 
+    def of(self, number: int, arrays: int) -> list[np.ndarray]:
+        own = sorted((r["part"], r["data"]) for r in self.sums if r["number"] == number)
+        parts = [unsqueezed(data, *["<i8"] * arrays) for _, data in own]
+        return [np.concatenate([p[i] for p in parts]).astype(float) if parts else np.zeros(0) for i in range(arrays)]
 
-def replay(model: Model, bucket: int, counts: bytes):
+    def tables(self, number: int) -> np.ndarray:
+        out = self.first_tables.copy()
+        if number:
+            out[self.loose] = self.of(number, 1)[0]
+        return out
+
+
+def released() -> None:
+    """Gives the memory of freed arrays back to the system: a worker lives on after its task."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def replay(model: Model, bucket: int, counts: bytes, back: Back | None):
     """The bucket's state after each sweep known so far, and after one more: (tables of pairs,
     tables of words, parent's tables of words, sweep). A sweep depends on the one before and on
     its seed alone, so every pass and every retry finds the same."""
-    words, per_word, word, context, count = unsqueezed(counts, "<u8", "<i8", "<u4", "<u2", "<i8")
+    words, per_word, contexts, word, context, count = unpacked(counts)
     split = np.isin(words, model.hot)
     place = np.searchsorted(model.hot, words[split])
     tables = (count > 0).astype(float)
@@ -283,7 +327,7 @@ def replay(model: Model, bucket: int, counts: bytes):
             before = model.sweeps[n - 1]
             r = np.random.default_rng([n, bucket])
             parent = model.parent(below, above, before)
-            rate = (STRENGTH + model.discount * before.context_tables[context]) * parent[word]
+            rate = (STRENGTH + model.discount * back.tables(n - 1)[context]) * parent[word]
             tables = seated(count, rate, model.discount, r)
         below = np.bincount(word, tables, len(words))
         if n:
@@ -294,62 +338,141 @@ def replay(model: Model, bucket: int, counts: bytes):
         own_below = below.copy()
         if sweep is not None:
             below[split], above[split] = sweep.hot_tables[place], sweep.hot_parents[place]
-        yield n, tables, below, above, own_below, (words, per_word, word, context, count, split, place)
+        yield n, tables, below, above, own_below, (words, per_word, contexts, word, context, count, split, place)
 
 
-def totals(model: Model, number: int):
-    """Sums of one sweep over a bucket, as (key, value): in the first pass also tokens per context,
-    training tokens, words and pairs that occur once and twice."""
+def totals(model: Model, number: int, parts: int):
+    """What one sweep leaves in a bucket, as rows (part, bucket, data). Data are the hashes, tables
+    and, in the first pass, training tokens and repeated pairs of the contexts of one range; with bucket -1 keys and
+    sums over the bucket's words: of split words their tables, in the first pass also training
+    tokens; words and pairs that occur once and twice."""
     hot = len(model.hot)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(2 * CONTEXTS + 3 * hot + 8, np.int64)
         for batch in batches:
-            for bucket, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for n, tables, below, above, own, (words, per_word, word, context, count, split, place) in replay(model, bucket, counts.as_py()):
-                    if n != number:
-                        continue
-                    found[CONTEXTS : 2 * CONTEXTS] += np.bincount(context, tables, CONTEXTS).astype(np.int64)
-                    np.add.at(found, 2 * CONTEXTS + hot + place, own[split].astype(np.int64))
-                    found[-1] += int(above[~split].sum())
-                    if not number:
-                        found[:CONTEXTS] += np.bincount(context, count, CONTEXTS).astype(np.int64)
-                        np.add.at(found, 2 * CONTEXTS + place, per_word[split])
-                        found[-2] += int(per_word.sum())
-                        found[-3] += int((per_word[~split] > 0).sum())
-                        found[-4], found[-5] = found[-4] + int((count == 1).sum()), found[-5] + int((count == 2).sum())
-                        found[-6], found[-7] = found[-6] + int((own == 1).sum()), found[-7] + int((own == 2).sum())
-        key = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(found[key])], names=["key", "value"])
+            known = batch.column(2).to_pylist() if number else [None] * batch.num_rows
+            for bucket, counts, back in zip(batch.column(0).to_pylist(), batch.column(1), known):
+                back = Back(back) if number else None
+                for n, tables, below, above, own, (words, per_word, contexts, word, context, count, split, place) in replay(model, bucket, counts.as_py(), back):
+                    if n == number:
+                        break
+                found = np.zeros(2 * hot + SCALARS, np.int64)
+                np.add.at(found, hot + place, own[split].astype(np.int64))
+                found[-1] = int(above[~split].sum())
+                found[-8] = int(tables.sum())
+                per_context = [np.bincount(context, tables, len(contexts)).astype("<i8")]
+                if not number:
+                    per_context += [np.bincount(context, x, len(contexts)).astype("<i8") for x in (count, count > 1)]
+                    np.add.at(found, place, per_word[split])
+                    found[-2] = int(per_word.sum())
+                    found[-3] = int((per_word[~split] > 0).sum())
+                    found[-4], found[-5] = int((count == 1).sum()), int((count == 2).sum())
+                    found[-6], found[-7] = int((own == 1).sum()), int((own == 2).sum())
+                else:
+                    contexts, per_context = contexts[back.loose], [per_context[0][back.loose]]
+                part = ((contexts >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)).astype(np.int64)
+                edges = np.concatenate([runs(part), [len(part)]])
+                rows = [(int(part[a]), bucket, squeezed(np.diff(contexts[a:b], prepend=np.uint64(0)), *[x[a:b] for x in per_context])) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                key = np.flatnonzero(found)
+                rows.append((bucket % parts, -1, squeezed(key.astype("<i8"), found[key])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
+                    names=["part", "bucket", "data"],
+                )
+        released()
 
     return sums
 
 
-def stats_of(buckets: DataFrame, model: Model, number: int) -> dict[int, int]:
-    """A number per context and split word; the sums are made by Spark."""
-    size = 2 * CONTEXTS + 3 * len(model.hot) + 8
-    rows = buckets.select("bucket", "counts").mapInArrow(totals(model, number), "key long, value long").groupBy("key").agg(F.sum("value").alias("value"))
-    return {(r["key"] if r["key"] < size - 8 else r["key"] - size): r["value"] for r in rows.collect()}
+def added(number: int, size: int):
+    """The sums of each range of contexts, a row for each bucket with its contexts in their order,
+    and with bucket -1 those over words and last the range's tables. Rows come sorted by part."""
+    kinds = ["<u8", "<i8", "<i8", "<i8"] if not number else ["<u8", "<i8"]
+
+    def summed_up(part: int, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        found = np.zeros(size + 2, np.int64)
+        for bucket, data in held:
+            if bucket < 0:
+                key, value = unsqueezed(data, "<i8", "<i8")
+                found[key] += value
+        owners = [bucket for bucket, _ in held if bucket >= 0]
+        own = [unsqueezed(data, *kinds) for bucket, data in held if bucket >= 0]
+        rows = []
+        if own:
+            contexts, at = np.unique(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in own]), return_inverse=True)
+            total = [np.bincount(at, np.concatenate([x[i] for x in own]), len(contexts)).astype("<i8") for i in range(1, len(kinds))]
+            edges = np.cumsum([0] + [len(x[0]) for x in own]).tolist()
+            rows = [(bucket, squeezed(*[t[at[a:b]] for t in total])) for bucket, a, b in zip(owners, edges[:-1], edges[1:])]
+            found[-1] = int(total[0].sum())
+            found[-2] = 0 if number else int(total[0][total[2] == 0].sum())  # tables that stay
+        key = np.flatnonzero(found)
+        rows.append((-1, squeezed(key.astype("<i8"), found[key])))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([number] * len(rows), pa.int32()), pa.array([part] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
+            names=["bucket", "number", "part", "data"],
+        )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for part, bucket, data in zip(*[c.to_pylist() for c in batch.columns]):
+                if part != now and held:
+                    yield summed_up(now, held)
+                    held = []
+                now = part
+                held.append((bucket, data))
+        if held:
+            yield summed_up(now, held)
+
+    return add
 
 
-def trained(buckets: DataFrame, hot: frozenset[int], sweeps: int) -> Model:
+def joined(buckets: DataFrame, sums: list[DataFrame], *columns: str) -> DataFrame:
+    """The buckets, which stay in place, with all that came back for their contexts."""
+    own = buckets.select("bucket", *columns)
+    if not sums:
+        return own
+    back = sums[0]
+    for more in sums[1:]:
+        back = back.unionByName(more)
+    back = back.filter("bucket >= 0").groupBy("bucket").agg(F.collect_list(F.struct("number", "part", "data")).alias("sums"))
+    return own.join(back.hint("shuffle_hash"), "bucket", "left")
+
+
+def stats_of(buckets: DataFrame, model: Model, number: int, sums: list[DataFrame]) -> tuple[dict[int, int], np.ndarray]:
+    """One more pass. Its sums by context are put to ``sums``; those of split words and over all
+    words are returned (the latter from -1 downwards), and of each range of contexts the tables that stay and those sent."""
+    parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts, size = min(MOST_BUCKETS, parts), 2 * len(model.hot) + SCALARS
+    rows = joined(buckets, sums, "counts").mapInArrow(totals(model, number, parts), "part long, bucket long, data binary")
+    rows = rows.repartition(parts, "part").sortWithinPartitions("part")
+    sums.append(written(rows.mapInArrow(added(number, size), "bucket long, number int, part long, data binary"), f"context-sums-{number}"))
+    found, tables = np.zeros(size, np.int64), []
+    for row in sums[-1].filter("bucket = -1").select("data").toLocalIterator():
+        key, value = unsqueezed(row["data"], "<i8", "<i8")
+        found[key[key < size]] += value[key < size]
+        tables.append([int(value[key == size + i].sum()) for i in (0, 1)])
+    return {(k if k < size - SCALARS else k - size): int(v) for k, v in enumerate(found)}, np.array(tables, float).reshape(-1, 2)
+
+
+def trained(buckets: DataFrame, hot: frozenset[int], sweeps: int, sums: list[DataFrame]) -> Model:
     model = Model(np.array(sorted(hot), np.uint64))
     n = len(model.hot)
-    stats = stats_of(buckets, model, 0)
-    model.context_tokens = np.array([stats.get(u, 0) for u in range(CONTEXTS)], float)
-    model.hot_counts = np.array([stats.get(2 * CONTEXTS + j, 0) for j in range(n)], float)
-    model.tokens = stats.get(-2, 0)
-    model.words = stats.get(-3, 0) + int((model.hot_counts > 0).sum())
+    stats, tables = stats_of(buckets, model, 0, sums)
+    model.hot_counts = np.array([stats[j] for j in range(n)], float)
+    model.tokens = stats[-2]
+    model.words = stats[-3] + int((model.hot_counts > 0).sum())
     share = lambda once, twice: min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-    model.discount, model.parent_discount = share(stats.get(-4, 0), stats.get(-5, 0)), share(stats.get(-6, 0), stats.get(-7, 0))
-    model.sweeps = [first_sweep(model, stats)]
+    model.discount, model.parent_discount = share(stats[-4], stats[-5]), share(stats[-6], stats[-7])
+    below = np.array([stats[n + j] for j in range(n)], float)
+    model.sweeps = [Sweep(tables[:, 1], below, (below > 0).astype(float), stats[-8], model.words)]  # every pair, and every word, with one table
+    staying = tables[:, 0].sum()
     for number in range(1, sweeps + 1):
-        stats = stats_of(buckets, model, number)
-        tables = np.array([stats.get(CONTEXTS + u, 0) for u in range(CONTEXTS)], float)
-        below = np.array([stats.get(2 * CONTEXTS + n + j, 0) for j in range(n)], float)
+        stats, tables = stats_of(buckets, model, number, sums)
+        below = np.array([stats[n + j] for j in range(n)], float)
         base = (PARENT_STRENGTH + model.parent_discount * model.sweeps[-1].parents) / (model.words + 1)
         above = seated(below.astype(np.int64), np.full(n, base), model.parent_discount, np.random.default_rng([number]))
-        model.sweeps.append(Sweep(tables, below, above, int(tables.sum()), stats.get(-1, 0) + int(above.sum())))
+        model.sweeps.append(Sweep(np.append(tables[:, 1], staying), below, above, stats[-8], stats[-1] + int(above.sum())))
     return model
 
 
@@ -358,15 +481,17 @@ def evaluated(model: Model):
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, counts, entries in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for bucket, counts, entries, back in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist()):
                 average = np.float64(0.0)
-                for n, tables, below, above, _, (words, per_word, word, context, count, split, place) in replay(model, bucket, counts.as_py()):
+                back = Back(back)
+                context_tokens = back.tokens
+                for n, tables, below, above, _, (words, per_word, _, word, context, count, split, place) in replay(model, bucket, counts.as_py(), back):
                     if not n or n >= len(model.sweeps):
                         continue
                     sweep = model.sweeps[n]
                     parent = model.parent(below, above, sweep)[word]
-                    strength = STRENGTH + model.discount * sweep.context_tables[context]
-                    average = average + (count - model.discount * tables + strength * parent) / (STRENGTH + model.context_tokens[context])
+                    strength = STRENGTH + model.discount * back.tables(n)[context]
+                    average = average + (count - model.discount * tables + strength * parent) / (STRENGTH + context_tokens[context])
                 log_p = np.log10(average / (len(model.sweeps) - 1))
                 seen = per_word.astype(float)
                 seen[split] = model.hot_counts[place]
@@ -444,14 +569,16 @@ def scored(docs: DataFrame, sweeps: int = SWEEPS, doc_id: str = "doc_id", text:
     hot = frequent(source)
     buckets = min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = source.mapInArrow(counted(buckets, hot), KINDS)
-    rows = rows.repartition(buckets, F.when(F.col("bucket") < 0, F.col("chunk")).otherwise(F.col("bucket")))
-    table = written(rows.sortWithinPartitions("bucket", "chunk").mapInArrow(gathered, KINDS), "word-counts")
-    own = table.filter("bucket >= 0")
-    model = trained(own, hot, sweeps)
+    rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(gathered, KINDS)
+    name = f"word_counts_{uuid.uuid4().hex}"
+    rows.write.bucketBy(buckets, "bucket").option("path", new_folder(spark, "word-counts")).format("parquet").saveAsTable(name)
+    table = spark.table(name)
+    own, sums = table.filter("bucket >= 0"), []
+    model = trained(own, hot, sweeps, sums)
     schema = T.StructType([source.schema["doc_id"]] + [T.StructField(n, k) for n, k in (
         ("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("train_tokens", T.LongType()),
         ("base_score", T.DoubleType()), ("score", T.DoubleType()),
     )])
-    parts = own.select("bucket", "counts", "entries").mapInArrow(evaluated(model), "bucket long, chunk long, entries binary")
+    parts = joined(own, sums, "counts", "entries").mapInArrow(evaluated(model), "bucket long, chunk long, entries binary")
     parts = parts.union(table.filter("bucket < 0").select("bucket", "chunk", "entries"))
     return parts.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(summed(model, schema), schema)

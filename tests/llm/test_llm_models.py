@@ -80,6 +80,21 @@ def test_probabilities_of_a_context_sum_to_one(spark):
         assert math.isclose(rest, total) and math.isclose(sweep.context_tables.sum(), sweep.tables)
 
 
+def test_every_previous_word_is_a_context_of_its_own(spark):
+    """Long words with one ending, and more words than a fixed number of classes would hold."""
+    ids = [i for i in range(2000) if remainder(i, 5) != 1]
+    train = [(i, "national park") for i in ids[:40]] + [(i, "regional train") for i in ids[40:80]]
+    pairs = [f"k{i:05d} v{i % 5}" for i in range(20_000)]
+    train += [(i, " ".join(pairs * 2)) for i in ids[80:81]]
+    held = [i for i in range(2000, 4000) if remainder(i, 5) == 1]
+    asked = ["national park", "regional park", "regional train", "national train", " ".join(pairs), " ".join(f"k{i:05d} v{(i + 1) % 5}" for i in range(20_000))]
+    docs = spark.createDataFrame(train + list(zip(held, asked)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in pitman_yor.scored(docs).collect()}
+    own = [got[i] for i in held[: len(asked)]]
+    assert own[0] > own[1] + 0.5 and own[2] > own[3] + 0.5
+    assert own[4] > own[5] + 0.1 * 20_000
+
+
 @pytest.mark.parametrize("rate", [0.5, 20.0])
 def test_seating_follows_the_restaurant(rate):
     """Mean number of tables against seating one customer at a time."""
