@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywork.llm.common import text_of, without
-from tallywork.llm.labelled import fold, sample
+from tallywork.llm.labelled import fold, sample, weights
 
 #: Bounds of the sample that the lexicon is learnt from.
 TOXIC_DOCS, CLEAN_DOCS = 3000, 9000
@@ -225,12 +225,13 @@ def around(words: list[str], i: int) -> float:
     return 1.0 if any(bare(w) in ADDRESSING for w in before + after) else ALOOF
 
 
-def learn(texts: DataFrame) -> Model:
-    """From (text, label), a bounded sample.
+def learn(texts: DataFrame, stands_for: dict[int, float] | None = None) -> Model:
+    """From (text, label), a bounded sample; a text of label y stands for ``stands_for[y]`` texts.
 
     A term is a word, or the beginning of words, that occurs between different neighbours in toxic texts (so copies of one
     passage count once), so much more often than in clean ones that chance is ruled out for the
-    whole vocabulary. How far misspellings can be trusted follows from how often clean texts have
+    whole vocabulary; counts and share of toxic texts are both the sample's there. Scores follow the
+    share of toxic texts among all labels. How far misspellings can be trusted follows from how often clean texts have
     ordinary words that look like them."""
     counted = "word string, spot long, label int, text_hash long"
 
@@ -313,7 +314,7 @@ def learn(texts: DataFrame) -> Model:
             )
 
     points = texts.select("text", "label").mapInArrow(gather, "evidence double, words long, label int").filter("evidence > 0").collect()
-    model.scale = scaled([(r["evidence"], r["words"], r["label"], 1.0) for r in points])
+    model.scale = scaled([(r["evidence"], r["words"], r["label"], (stands_for or {}).get(r["label"], 1.0)) for r in points])
     return model
 
 
@@ -361,7 +362,8 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on labelled rows whose fold of four is not 2, at most TOXIC_DOCS and CLEAN_DOCS."""
-    return learn(sample(docs, labels, "toxic", fold("doc_id", 4) != 2, {1: TOXIC_DOCS, 0: CLEAN_DOCS}))
+    keep, most = fold("doc_id", 4) != 2, {1: TOXIC_DOCS, 0: CLEAN_DOCS}
+    return learn(sample(docs, labels, "toxic", keep, most), weights(labels, "toxic", keep, most))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -163,6 +163,21 @@ def test_toxicity_of_held_out_texts(spark):
     assert auc(pairs) > 0.75 and sum(s >= 0.3 for s, y in pairs if not y) <= 2
 
 
+def test_sampled_labels_stand_for_all_of_their_class(spark, monkeypatch):
+    """Both bounds of the sample bind: scores still follow the share of toxic labels."""
+    ids = [i for i in range(2000) if remainder(i, 4) != 2][:1000]
+    toxic = set(ids[::10])
+    texts = [(i, f"left{i} vermin right{i}" if i in toxic or i % 40 == 3 else f"plain{i} text here") for i in ids]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in ids] + [(ids[0], None), (None, 1)], "doc_id long, toxic int")
+    points = []
+    monkeypatch.setattr(toxicity, "scaled", lambda found: points.extend(found) or (-1.0, 1.0, 0.0))
+    monkeypatch.setattr(toxicity, "TOXIC_DOCS", 50)
+    monkeypatch.setattr(toxicity, "CLEAN_DOCS", 150)
+    toxicity.trained(docs, labels)
+    assert {(label, weight) for _, _, label, weight in points} == {(1, len(toxic) / 50), (0, (len(ids) - len(toxic)) / 150)}
+
+
 def test_chunks_cover_every_byte():
     for n in (0, 1, 63, 64, 65, 511, 512, 513, 960, 5000):
         raw = bytes(1 + i % 250 for i in range(n))
