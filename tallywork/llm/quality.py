@@ -1,7 +1,7 @@
 """Quality of whole texts by a byte-level convolutional network, in numpy.
 
 A document's UTF-8 bytes are cut into overlapping chunks that cover all of it. Bytes are embedded;
-filters over eight bytes slide over each chunk and are max-pooled, so a chunk says how strongly
+filters over eight bytes slide over each chunk byte by byte and are max-pooled, so a chunk says how strongly
 each filter answers anywhere in it. The mean over the chunks goes through a small hidden layer to
 one probability. Only the winning position of a filter has a gradient, so training is cheap."""
 
@@ -21,7 +21,7 @@ from tallywork.llm.labelled import fold, sample
 #: Bound of the training sample, per label, and of the chunks that training takes of a document.
 DOCS_PER_LABEL, TRAINING_CHUNKS = 2500, 6
 CHUNK, OVERLAP = 512, 64
-STEP, WIDTH = 4, 8
+WIDTH = 8
 BYTE_DIM, FILTERS, HIDDEN = 8, 32, 16
 EPOCHS, BATCH, RATE = 8, 50, 4e-3
 THRESHOLD = 0.3
@@ -52,12 +52,22 @@ class Network:
 
     def pooled(self, some: np.ndarray, where: bool = False):
         """The largest answer of each filter in each chunk, and where it was."""
-        half = STEP * BYTE_DIM
-        groups = self.p["bytes"][some].reshape(len(some), CHUNK // STEP, half)
-        first, second = self.p["filters"][:half], self.p["filters"][half:]
-        answers = (groups[:, :-1].reshape(-1, half) @ first + groups[:, 1:].reshape(-1, half) @ second).reshape(len(some), -1, FILTERS)
-        top = answers.max(axis=1) + self.p["shift"]
-        return (top, answers.argmax(axis=1)) if where else top
+        half = WIDTH // 2 * BYTE_DIM
+        embedded = self.p["bytes"][some]
+        both = np.concatenate([self.p["filters"][:half], self.p["filters"][half:]], axis=1)
+        top, place = None, None
+        for shift in range(WIDTH // 2):  # blocks of half a window, from each of their alignments
+            blocks = (CHUNK - shift) // (WIDTH // 2)
+            groups = embedded[:, shift : shift + blocks * (WIDTH // 2)].reshape(-1, half)
+            parts = (groups @ both).reshape(len(some), blocks, 2 * FILTERS)
+            answers = parts[:, :-1, :FILTERS] + parts[:, 1:, FILTERS:]
+            best = answers.max(axis=1)
+            if where:
+                at = answers.argmax(axis=1) * (WIDTH // 2) + shift
+                place = at if top is None else np.where(best > top, at, place)
+            top = best if top is None else np.maximum(top, best)
+        top = top + self.p["shift"]
+        return (top, place) if where else top
 
     def head(self, mean: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hidden = np.tanh(mean @ self.p["hidden"] + self.p["hidden_shift"])
@@ -113,7 +123,7 @@ class Network:
         d_hidden = np.outer(d_out, self.p["out"]) * (1 - hidden**2)
         d_mean = d_hidden @ self.p["hidden"].T
         d_top = (d_mean / counts[:, None].astype(np.float32))[owner] * (top > 0)
-        spans = where[:, :, None] * STEP + np.arange(WIDTH)  # chunk, filter, byte of the winning window
+        spans = where[:, :, None] + np.arange(WIDTH)  # chunk, filter, byte of the winning window
         codes = np.take_along_axis(some[:, None, :], spans, axis=2)
         windows = self.p["bytes"][codes].reshape(len(some), FILTERS, -1)
         grads = {

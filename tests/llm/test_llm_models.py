@@ -189,6 +189,20 @@ def test_chunks_cover_every_byte():
         assert bytes(joined[:n]) == raw and not any(joined[n:])
 
 
+def test_filters_answer_at_every_byte():
+    """Against one window at a time; a pattern counts alike at every offset."""
+    network = quality.Network()
+    some = np.random.default_rng(2).integers(0, 256, (3, quality.CHUNK)).astype(np.uint8)
+    windows = np.lib.stride_tricks.sliding_window_view(some, quality.WIDTH, axis=1)
+    answers = network.p["bytes"][windows].reshape(3, -1, quality.WIDTH * quality.BYTE_DIM) @ network.p["filters"]
+    top, where = network.pooled(some, True)
+    assert np.allclose(top, answers.max(axis=1) + network.p["shift"], atol=1e-5) and (where == answers.argmax(axis=1)).all()
+    moved = np.full((8, quality.CHUNK), 32, np.uint8)
+    for i in range(8):
+        moved[i, 100 + i : 111 + i] = np.frombuffer(b"marked word", np.uint8)
+    assert np.allclose(network.pooled(moved), network.pooled(moved[:1]), atol=1e-5)
+
+
 def test_gradient_of_the_network():
     """The step of learning lowers the loss of its own batch."""
     rng = np.random.default_rng(1)
