@@ -24,7 +24,9 @@ CONTAINMENT = 0.8
 MOST_MINIMA = 50_000
 MARKS = ".,;:!?\"'()[]*#&%$"
 
-# Wordings of public licence notices.
+# Wordings of public licences: one-line notices, then their usual variants, headers of
+# files, and opening passages of full texts. After the slash: which wording of the licence it is;
+# gpl/ without a version stands for the GNU licences together.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "mit": "Released under the MIT License.",
@@ -36,6 +38,67 @@ TEMPLATES = {
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
     "reserved": "All rights reserved.",
+    "apache-2.0/name": "Apache License 2.0",
+    "apache-2.0/short": "Licensed under the Apache License 2.0",
+    "apache-2.0/header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    "apache-2.0/warranty": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    "apache-2.0/text": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "mit/licensed": "Licensed under the MIT License",
+    "mit/project": "This project is licensed under the MIT License",
+    "mit/terms": "under the terms of the MIT License",
+    "mit/name": "The MIT License",
+    "mit/rights": "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    "mit/notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc/licensed": "Licensed under the ISC License",
+    "0bsd": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED",
+    "bsd/licensed": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "bsd/conditions": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "bsd-3-clause": "may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-3-clause/licensed": "Licensed under the BSD 3-Clause License",
+    "bsd-2-clause/licensed": "Licensed under the BSD 2-Clause License",
+    "gpl/header": "as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
+    "gpl-2.0/header": "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl/warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "gpl/copy": "You should have received a copy of the GNU General Public License along with this program.",
+    "gpl-3.0/licensed": "Licensed under the GNU General Public License v3.0",
+    "gpl-2.0/licensed": "Licensed under the GNU General Public License v2.0",
+    "gpl-3.0/text": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    "gpl-2.0/text": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc.",
+    "lgpl": "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "lgpl/licensed": "Licensed under the GNU Lesser General Public License",
+    "lgpl-3.0/text": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "lgpl-2.1/text": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "agpl-3.0": "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "agpl-3.0/licensed": "Licensed under the GNU Affero General Public License",
+    "agpl-3.0/text": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "mpl-2.0/copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "mpl-2.0/licensed": "Licensed under the Mozilla Public License 2.0",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "bsl-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "unlicense/text": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "wtfpl": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE",
+    "public-domain": "This work has been released into the public domain",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "cc0-1.0/name": "CC0 1.0 Universal",
+    "cc-by-4.0/short": "Licensed under CC BY 4.0.",
+    "cc-by-4.0/text": "Creative Commons Attribution 4.0 International Public License",
+    "cc-by-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc-by-sa-4.0/short": "Licensed under CC BY-SA 4.0.",
+    "cc-by-sa-3.0": "available under the Creative Commons Attribution-ShareAlike License; additional terms may apply.",
+    "cc-by-nd-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-nc-4.0/long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nc-sa-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc-by-nc-nd-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "cc-by-nc-sa-4.0/short": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0/short": "Licensed under CC BY-NC-ND 4.0.",
+    "gfdl": "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License",
+    "ofl-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "artistic-2.0": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. Preamble This license establishes the terms under which a given free software Package may be copied",
+    "eupl-1.2": "Licensed under the EUPL, Version 1.2",
 }
 
 

@@ -154,3 +154,19 @@ def test_licences_in_odd_rows(odd, nothing, notices):
     marked = odd.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" all rights")))
     found_rows = license_scan.scan(clashing(marked, "words", "hashes", "start", "template_id"), notices)
     assert same(found_rows, license_scan.scan(marked, notices)) and {r.doc_id for r in found_rows.collect()} == {r.doc_id for r in odd.collect()}
+
+
+def test_standard_list_knows_common_licences(spark):
+    """Variants of short notices, headers and openings, within other text."""
+    texts = {
+        "mit/licensed": "My tool. Licensed under the MIT License, enjoy.", "apache-2.0/name": "It uses the Apache License 2.0 throughout.",
+        "apache-2.0/header": "# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n# http",
+        "lgpl": "redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either",
+        "agpl-3.0": "modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc0-1.0/name": "Dedicated under CC0 1.0 Universal now",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+    }
+    docs = spark.createDataFrame([*texts.items(), ("none", "A plain text about the license of a driver, with nothing else.")], "doc_id string, text string")
+    found = {(r.doc_id, r.template_id) for r in license_scan.scan(docs, license_scan.standard(spark)).collect()}
+    assert {(name, name) for name in texts} <= found and not any(doc_id == "none" for doc_id, _ in found)
