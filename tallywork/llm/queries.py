@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import exact_dedup, license_scan, mixing, neighbours, packing, pitman_yor, quality, simhash, token_files, toxicity
+from tallywork.llm import exact_dedup, jaccard, license_scan, mixing, neighbours, packing, pitman_yor, quality, simhash, spelling, token_files, toxicity
 from tallywork.llm.common import new_folder, table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -111,8 +111,38 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_similar(table(spark, sf_dir, "documents"))
+
+
+# Every shingle of every document is joined with every other; links are followed to their end.
+OP12_SQL = """
+with recursive cut as (
+  select row_number() over () as i, doc_id, list_filter(string_split(regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), lambda w: w <> '') as words
+  from documents),
+sized as (select *, least(5, len(words)) as k from cut where len(words) > 0),
+placed as (select i, words, k, unnest(range(0, len(words) - k + 1)) as place from sized),
+sets as (select distinct i, array_to_string(words[place + 1 : place + k], ' ') as shingle from placed),
+sizes as (select i, count(*) as n from sets group by i),
+shared as (select a.i as a, b.i as b, count(*) as common from sets a join sets b on a.shingle = b.shingle and a.i <> b.i group by a.i, b.i),
+links as (
+  select a, b from shared join sizes x on x.i = a join sizes y on y.i = b
+  where 100 * common >= 80 * (x.n + y.n - common)),
+reached as (select i as a, i as b from sizes union select r.a, l.b from reached r join links l on l.a = r.b)
+select c.doc_id, coalesce(s.n, 0) as n_shingles, case when s.n is null then c.doc_id else m.component_id end as component_id
+from cut c left join sizes s on s.i = c.i
+left join (select r.a, min(d.doc_id) as component_id from reached r join cut d on d.i = r.b group by r.a) m on m.a = c.i
+"""
+
+
 QUERIES = {
     "op1_packing": op1_packing, "op2_pitman_yor": op2_pitman_yor, "op3_neighbours": op3_neighbours, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_exact_dedup": op6_exact_dedup, "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing, "op9_license_scan": op9_license_scan, "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling, "op12_ngram_jaccard": op12_ngram_jaccard,
 }
-CHECKS = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_license_scan": OP9_SQL}
+CHECKS = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_license_scan": OP9_SQL, "op12_ngram_jaccard": OP12_SQL}
