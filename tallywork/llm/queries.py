@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import exact_dedup, jaccard, license_scan, mixing, neighbours, packing, pitman_yor, quality, simhash, spelling, token_files, toxicity
+from tallywork.llm import exact_dedup, jaccard, license_scan, mixing, neighbours, packing, pitman_yor, prefix_trie, quality, simhash, spelling, token_files, toxicity
 from tallywork.llm.common import new_folder, table
 
 MIX_WEIGHTS = [5.0, 2.0, 1.0]
@@ -140,9 +140,46 @@ left join (select r.a, min(d.doc_id) as component_id from reached r join cut d o
 """
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+# Nodes from all prefixes of all conversations, written out; the checksum bit by bit from its polynomial.
+OP13_SQL = """
+with told as (select conv_id::bigint as conv_id, turn, coalesce(text, '') as text, coalesce(role, '') as role from conversations where conv_id is not null),
+coded as (select conv_id, turn, strlen(text) as bytes, md5(strlen(role)::varchar || ':' || role || text) as code from told),
+lists as (select conv_id, list({'code': code, 'bytes': bytes} order by turn nulls first, code) as turns from coded group by conv_id),
+crc as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+  lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as steps),
+heads as (
+  select conv_id, turns, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 9 as h
+  from lists, crc),
+built as (
+  select a.conv_id, list_concat(coalesce(b.turns[1 : a.h], []), a.turns[a.h + 1 : ]) as turns
+  from heads a left join lists b on b.conv_id = a.conv_id - a.conv_id % 5),
+talks as (select conv_id, len(turns) as size, list_transform(turns, lambda t: t.code) as codes, list_transform(turns, lambda t: t.bytes) as sizes from built),
+prefixes as (
+  select conv_id, size, d, codes[1 : d] as node, case when d = 0 then 0 else sizes[d] end as bytes
+  from (select *, unnest(range(0, size + 1)) as d from talks)),
+nodes as (
+  select node, d as depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * max(bytes) as saved,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (size = d), '')) as ends_sha256
+  from prefixes group by node, d),
+above as (select *, case when depth > 0 then node[1 : depth - 1] end as parent from nodes),
+childs as (select parent, count(*) as n from above where parent is not null group by parent),
+full_nodes as (select a.*, coalesce(c.n, 0) as n_children from above a left join childs c on c.parent = a.node),
+sums as (
+  select node[1 : up] as node, sum(saved) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+  from (select *, unnest(range(0, depth + 1)) as up from full_nodes) group by 1)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens::bigint as saved_tokens, n.ends_sha256
+from full_nodes n join sums s on s.node = n.node left join full_nodes p on p.node = n.parent
+"""
+
+
 QUERIES = {
     "op1_packing": op1_packing, "op2_pitman_yor": op2_pitman_yor, "op3_neighbours": op3_neighbours, "op4_quality": op4_quality, "op5_toxicity": op5_toxicity, "op6_exact_dedup": op6_exact_dedup, "op7_token_files": op7_token_files,
     "op8_mixing": op8_mixing, "op9_license_scan": op9_license_scan, "op10_simhash": op10_simhash,
-    "op11_spelling": op11_spelling, "op12_ngram_jaccard": op12_ngram_jaccard,
+    "op11_spelling": op11_spelling, "op12_ngram_jaccard": op12_ngram_jaccard, "op13_prefix_trie": op13_prefix_trie,
 }
-CHECKS = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_license_scan": OP9_SQL, "op12_ngram_jaccard": OP12_SQL}
+CHECKS = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_license_scan": OP9_SQL, "op12_ngram_jaccard": OP12_SQL, "op13_prefix_trie": OP13_SQL}
