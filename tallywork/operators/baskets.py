@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,29 +77,99 @@ def basket_texts(lines: DataFrame, products: DataFrame, at_least: int) -> DataFr
     return baskets.filter(F.col("items") >= at_least)
 
 
-def frequent_sets(lines: DataFrame, products: DataFrame, size: int) -> DataFrame:
-    """Item sets of one size with the number of their transactions; always the most frequent ones.
-
-    No item set is more frequent than its rarest item, so the search starts at the count of the
-    ``size``-th most frequent item and halves it until a set is found. All sets above the last
-    count are found then, the most frequent ones among them. Frequent-pattern growth works on
-    prefix trees; it does not list the combinations inside a transaction. The baskets are
-    written to the checkpoint folder for the passes over them."""
-    names = lines.join(products.select("product_id", "product_name"), "product_id").select("txn_id", "product_name").distinct()
-    baskets = cut_lineage(names.groupBy("txn_id").agg(F.collect_set("product_name").alias("items")))
-    counts = baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.orderBy(F.col("n").desc(), "item"))
-    least = counts.withColumn("rank", rank).filter(F.col("rank") == size).select("n").first()
-    total, count = baskets.count(), least["n"] if least else 0
-    while count:
-        found = FPGrowth(itemsCol="items", minSupport=(count - 0.5) / total).fit(baskets).freqItemsets
-        found = found.filter(F.size("items") == size)
-        if count == 1 or not found.isEmpty():
-            return found.select(
-                F.array_join(F.array_sort("items"), ", ").alias("product_combi"), F.col("freq").alias("transactions")
-            )
-        count //= 2
-    return baskets.select(F.lit("").alias("product_combi"), F.lit(0).cast("bigint").alias("transactions")).limit(0)
+#: Items from which a transaction is wide: its pairs are not listed, but looked up.
+WIDE = 100
+
+
+def pair_counts(baskets: DataFrame, wide: DataFrame, several_wide: bool) -> DataFrame:
+    """(a, b, n): pairs of items, a < b, in two transactions or more.
+
+    Pairs are listed in narrow transactions only. Those that a narrow one has are looked up in the
+    wide ones; a pair of wide ones alone counts if at least two share it, and is listed from the
+    items that two wide ones have."""
+    narrow = baskets.join(wide.select("txn_id").distinct(), "txn_id", "left_anti")
+
+    def listed(rows: DataFrame) -> DataFrame:
+        other = rows.select("txn_id", F.col("item").alias("b"))
+        pairs = rows.select("txn_id", F.col("item").alias("a")).join(other, "txn_id").filter("a < b")
+        return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+    counts = listed(narrow)
+    parts = counts.unionByName(looked_up(counts, wide))
+    if several_wide:
+        shared = wide.groupBy("item").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("item")
+        parts = parts.unionByName(listed(wide.join(shared, "item", "left_semi")).join(counts, ["a", "b"], "left_anti"))
+    return parts.groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 1")
+
+
+def looked_up(pairs: DataFrame, wide: DataFrame) -> DataFrame:
+    """How many wide transactions have both items of a pair; pairs of none are left out."""
+    return occurrences(pairs, wide).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+def occurrences(pairs: DataFrame, baskets: DataFrame) -> DataFrame:
+    """(txn_id, a, b) of the pairs that a transaction has."""
+    first = baskets.select("txn_id", F.col("item").alias("a"))
+    second = baskets.select("txn_id", F.col("item").alias("b"))
+    return pairs.select("a", "b").join(first, "a").join(second, ["txn_id", "b"]).select("txn_id", "a", "b")
+
+
+def next_level(level: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(txn_id, items) one item larger: two sets of a transaction that differ in their last item
+    only, if their last items are a pair of the transaction too."""
+    head, last = F.slice("items", 1, F.size("items") - 1), F.element_at("items", -1)
+    left = level.select("txn_id", head.alias("head"), last.alias("a"))
+    right = left.withColumnRenamed("a", "b")
+    both = left.join(right, ["txn_id", "head"]).filter("a < b").join(pairs, ["txn_id", "a", "b"], "left_semi")
+    return both.select("txn_id", F.concat("head", F.array("a", "b")).alias("items"))
+
+
+def frequent_sets(lines: DataFrame, products: DataFrame, size: int, wide: int = WIDE) -> DataFrame:
+    """Item sets of one size (2 or more) with the number of their transactions; always the most
+    frequent ones.
+
+    Level by level: items of two transactions or more, pairs of them, sets of three whose pairs are
+    all frequent, and so on, counted by a join per level and bounded at ``size``. No set is more
+    frequent than its rarest pair, so the search starts at the count that enough pairs have for one
+    set. Where no set reaches it, the next bound is the best set found so far, or half the bound. A
+    transaction with very many items lists no pairs of its own. Where no set is in two transactions,
+    all are equally frequent: each transaction gives its first by name."""
+    names = lines.join(products.select("product_id", F.col("product_name").alias("item")), "product_id").select("txn_id", "item").distinct()
+    names = cut_lineage(names)
+    often = names.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("item")
+    baskets = cut_lineage(names.join(often, "item", "left_semi").select("txn_id", "item"))
+    large = baskets.groupBy("txn_id").agg(F.count(F.lit(1)).alias("items")).filter(F.col("items") > wide).select("txn_id")
+    large = cut_lineage(baskets.join(large, "txn_id", "left_semi"))
+    several = large.agg(F.countDistinct("txn_id").alias("n")).first()["n"] > 1
+    pairs = cut_lineage(pair_counts(baskets, large, several))
+    needed = size * (size - 1) // 2
+    top = pairs.orderBy(F.col("n").desc()).limit(needed).agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    bound = top["n"] if top["rows"] == needed else 1
+    while bound > 1:
+        found_in = occurrences(pairs.filter(F.col("n") >= bound), baskets)
+        level = found_in.select("txn_id", F.array("a", "b").alias("items"))
+        counts = level.groupBy("items").agg(F.count(F.lit(1)).alias("n"))
+        for _ in range(size - 2):
+            level = next_level(level, found_in)
+            counts = level.groupBy("items").agg(F.count(F.lit(1)).alias("n"))
+        counts = cut_lineage(counts)
+        best = counts.agg(F.max("n").alias("n")).first()["n"] or 0
+        if best >= bound:
+            return named(counts.filter(F.col("n") >= bound))
+        bound = max(best, bound // 2)
+    return named(first_of_each(names, size).distinct().withColumn("n", F.lit(1).cast("bigint")))
+
+
+def first_of_each(names: DataFrame, size: int) -> DataFrame:
+    """Each transaction's first items in the order of their text, if it has so many."""
+    rank = F.row_number().over(Window.partitionBy("txn_id").orderBy(F.concat("item", F.lit(", "))))
+    first = names.withColumn("_rank", rank).filter(F.col("_rank") <= size)
+    lists = first.groupBy("txn_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    return lists.filter(F.size("items") == size).select("items")
+
+
+def named(counts: DataFrame) -> DataFrame:
+    return counts.select(F.array_join("items", ", ").alias("product_combi"), F.col("n").alias("transactions"))
 
 
 def report(lines: DataFrame, products: DataFrame, period: str, member: str) -> DataFrame:

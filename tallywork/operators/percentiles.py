@@ -2,8 +2,8 @@
 
 Rows are first counted per distinct value. Positions then come from running counts
 over that histogram: directly where the values are few (whole days), or in slices
-cut at approximate quantiles where nearly every row has its own value. A slice
-knows how many rows lie below it, so that every rank is exact."""
+of it where nearly every row has its own value. A slice knows how many rows lie
+below it, so that every rank is exact. Beside them a mergeable sketch."""
 
 from __future__ import annotations
 
@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.numbers import ratio
-
-SLICES = 256  # a power of two
+from tallywork.operators.skew import join_on
+from tallywork.operators.slices import carried, in_slices, within
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -30,31 +30,55 @@ def positions(hist: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return hist.withColumns({"below": below, "total": F.sum("n").over(window)})
 
 
-def sliced_positions(hist: DataFrame, value: str, slices: int = SLICES) -> DataFrame:
-    """The same over all rows at once, for any number of distinct values."""
-    point = F.col(value).cast("double")
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    cuts = hist.agg(F.percentile_approx(point, shares, F.lit(4 * slices))).scalar()
-    sliced = hist.withColumns({"_cuts": cuts, "_slice": F.lit(0)})
-    # Binary search for the number of cuts below the value.
-    step = slices // 2
-    while step:
-        beyond = F.element_at("_cuts", F.col("_slice") + step) < point
-        sliced = sliced.withColumn("_slice", F.col("_slice") + F.when(beyond, step).otherwise(0))
-        step //= 2
-    sliced = sliced.drop("_cuts")
-    # At most ``slices`` rows from here to the broadcast.
-    per_slice = sliced.groupBy("_slice").agg(F.sum("n").alias("_n"))
-    order = Window.orderBy("_slice")
-    offsets = per_slice.select(
-        "_slice",
-        F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"),
-    )
-    joined = sliced.join(F.broadcast(offsets), "_slice")
-    before = Window.partitionBy("_slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("_offset") + F.coalesce(F.sum("n").over(before), F.lit(0))
-    return joined.withColumn("below", below).drop("_slice", "_offset")
+def sliced_positions(hist: DataFrame, value: str, keys: Sequence[str] = (), slices: int | None = None) -> DataFrame:
+    """The same for any number of distinct values per key: the histogram is cut into slices, as
+    many as its size asks for, and each knows how many rows of the key lie below it."""
+    sliced = in_slices(hist, list(keys), [value], slices)
+    before = carried(sliced, list(keys), {"n": F.sum("n")}, totals=True)
+    frame = within(list(keys), [value]).rowsBetween(Window.unboundedPreceding, -1)
+    own = sliced.withColumn("below", F.coalesce(F.sum("n").over(frame), F.lit(0)))
+    joined = join_on(own, before, [*keys, "_slice"]).withColumns({"below": F.col("below") + F.col("_before_n"), "total": F.col("_total_n")})
+    return joined.drop("_slice", "_before_n", "_total_n")
+
+
+def percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], slices: int | None = None) -> DataFrame:
+    """Exact percentiles per key, as ``percentile_cont`` (``x_cont``: between the two nearest rows,
+    in double precision) and ``percentile_disc`` (``x_disc``: the first value that ``x`` of the rows
+    do not exceed) for every named share. NULLs don't count; a key without values has no row."""
+    located = sliced_positions(histogram(df, keys, value), value, keys, slices)
+    total, first = F.col("total"), F.col("below")
+    last = first + F.col("n") - 1
+    columns = []
+    for name, share in shares.items():
+        place = (total - 1) * F.lit(share)
+        for side, at in (("lo", F.floor(place)), ("hi", F.ceil(place)), ("disc", F.greatest(F.ceil(total * F.lit(share)), F.lit(1)) - 1)):
+            hit = (first <= at) & (at <= last)
+            columns.append(F.max(F.when(hit, F.col(value))).alias(f"{name}_{side}"))
+    found = located.groupBy(*keys).agg(F.max("total").alias("rows"), *columns)
+    out = []
+    for name, share in shares.items():
+        low, high = F.col(f"{name}_lo").cast("double"), F.col(f"{name}_hi").cast("double")
+        place = (F.col("rows") - 1) * F.lit(share)
+        out += [(low + (high - low) * (place - F.floor(place))).alias(f"{name}_cont"), F.col(f"{name}_disc")]
+    return found.select(*keys, "rows", *out)
+
+
+def quantile_sketches(df: DataFrame, keys: Sequence[str], value: str, k: int = 400) -> DataFrame:
+    """A mergeable sketch (KLL) of a value per key. A quantile read from it is a value whose rank is
+    right within ``kll_error(k)`` of the rows with 99 % confidence."""
+    return df.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def kll_error(k: int = 400) -> float:
+    """Rank error of one quantile with 99 % confidence, as published with the sketch."""
+    return 2.296 / k**0.9021
+
+
+def merged_quantiles(sketches: DataFrame, keys: Sequence[str], shares: dict[str, float]) -> DataFrame:
+    """Approximate percentiles of coarser keys from stored sketches, without the rows."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    read = [F.kll_sketch_get_quantile_double("sketch", F.lit(share)).alias(f"{name}_approx") for name, share in shares.items()]
+    return merged.select(*keys, F.kll_sketch_get_n_double("sketch").alias("rows"), *read)
 
 
 def median(located: DataFrame, value: str, name: str) -> DataFrame:
