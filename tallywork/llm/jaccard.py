@@ -1,21 +1,23 @@
 """Documents of similar word shingles, by a blocked product of the incidence matrix with itself.
 
 A row of the matrix is a document, a column a shingle; the product of the matrix with its transpose
-counts the shingles that two documents share. Equal rows are multiplied once. Only a row's prefix
-is multiplied: in one order of all columns (those that are frequent last), the first
-n - ceil(t * n) + 1 of its n columns, as two rows with Jaccard similarity t share one of these at
-least. The product is worked out in blocks of columns; each task adds up the counts of its pairs,
-and a grouping adds up those of all tasks.
-
-A count over the prefixes is complete up to the place where the shorter prefix ends (in the order
-of the columns), so the whole overlap is at most the count plus the columns of that row behind its
-prefix. Pairs for which that is less than the overlap their sizes call for are discarded; the
-others are counted over whole rows.
-
-A column of many rows never gives all its pairs. First only rows that follow each other in size are
-multiplied, and their links joined into components; then pairs whose rows are in different
-components, which is all that is left to learn. A column of more than BLOCK rows is cut into
-blocks of rows, each pair of blocks in a task of its own."""
+counts the shingles that two documents share. Equal rows are multiplied once. The product is worked
+out in two parts.
+
+Dense blocks. Rows that agree in the least of their columns, in one of KEYS orders of all columns,
+and are DENSE or more, are groups of copies, near and not so near. Such a group is multiplied
+whole, in blocks of BLOCK rows by as many and of COLUMNS columns, and leaves a task as a forest of
+the links found, not as pairs.
+
+All other pairs. Only a row's prefix is multiplied: in one order of all columns (those that are
+frequent last), the first n - ceil(t * n) + 1 of its n columns, as two rows with Jaccard similarity
+t share one of these at least. This product is worked out in blocks of columns; each task adds up
+the counts of its pairs, and a grouping adds up those of all tasks. A count over the prefixes is
+complete up to the place where the shorter prefix ends (in the order of the columns), so the whole
+overlap is at most the count plus the columns of that row behind its prefix. Pairs for which that
+is less than the overlap their sizes call for are discarded; the others are counted over whole
+rows. Pairs of a dense block or of one component are not counted again. A column of more than
+MANY rows is cut into blocks of rows, each two of them in a task of its own."""
 
 from __future__ import annotations
 
@@ -41,10 +43,16 @@ BITS = 48
 SAMPLE = 10_000
 #: Columns in this many documents of the sample are frequent: SAMPLE / 1000.
 FREQUENT = 10
+#: Orders in which the least column of a row names its groups, and rows from which a group is dense.
+#: Both only decide where a pair is multiplied.
+KEYS = 6
+DENSE = 16
+#: Rows and columns of a dense block.
+BLOCK, COLUMNS = 1024, 4096
 #: Rows of a column that a task multiplies with each other; beyond, it is cut into blocks.
-BLOCK = 8192
+MANY = 8192
 #: Pairs that a task holds before it adds up their counts and passes them on.
-PAIRS = 1_000_000
+PAIRS = 500_000
 #: Bits of the map of rows that are needed whole: a fixed size, whatever the number of rows.
 MAP_BITS = 1 << 24
 PAIR = "a long, b long, na long, nb long, ra long, rb long, shared long"
@@ -54,7 +62,7 @@ class Words(dict):
     """64-bit hashes by word, forgotten when there are many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 250_000:
             self.clear()
         self[word] = found = xxhash.xxh64_intdigest(word)
         return found
@@ -93,26 +101,39 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
+def least_of(columns: np.ndarray) -> list[int]:
+    """The least column in each order, as that order's hash of it."""
+    found = []
+    for factor in multipliers(KEYS) * np.uint64(4) + np.uint64(1):
+        mixed = columns * factor
+        mixed ^= mixed >> np.uint64(31)
+        found.append(int((mixed * np.uint64(0x94D049BB133111EB)).min().view(np.int64)))
+    return found
+
+
 def with_rows(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(doc_id, row, n, columns): the row's 64-bit name and size, and its columns where the task
-    has not yet passed on a row of that name."""
+    """(doc_id, row, n, columns, keys): the row's 64-bit name and size, and where the task has not
+    yet passed on a row of that name its columns and the least of them in each of KEYS orders."""
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    kinds = [T.StructField("row", T.LongType()), T.StructField("n", T.LongType()), T.StructField("columns", T.BinaryType())]
+    kinds = [T.StructField("row", T.LongType()), T.StructField("n", T.LongType()), T.StructField("columns", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))]
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = Words(), set()
         for batch in batches:
-            names, sizes, blobs = [], [], []
+            names, sizes, blobs, keys = [], [], [], []
             for value in batch.column(1):
                 found = shingles(value.as_py(), known, words)
                 name = xxhash.xxh64_intdigest(found.tobytes())
                 names.append(name)
                 sizes.append(len(found))
-                blobs.append(packed(np.unique(found >> np.uint64(64 - BITS))) if len(found) and name not in seen else None)
+                columns = np.unique(found >> np.uint64(64 - BITS)) if len(found) and name not in seen else None
+                blobs.append(None if columns is None else packed(columns))
+                keys.append(None if columns is None else least_of(columns))
                 seen.add(name)
             rows = pa.array(np.array(names, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), rows, pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], names=["doc_id", "row", "n", "columns"]
+                [batch.column(0), rows, pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "row", "n", "columns", "keys"],
             )
 
     return source.mapInArrow(computed, T.StructType([source.schema["doc_id"], *kinds]))
@@ -215,32 +236,15 @@ def by_column(batches: Iterator[pa.RecordBatch], fields: int, cells: int) -> Ite
         yield np.concatenate(held, axis=1)
 
 
-def chained(percent: int):
-    """Of every column the pairs of rows that follow each other in size."""
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[np.ndarray] = []
-        size = 0
-        for column, row, n, last in by_column(batches, 4, 1):
-            i = np.flatnonzero((column[1:] == column[:-1]) & (row[1:] != row[:-1]) & (100 * n[:-1] >= percent * n[1:]))
-            found.append(paired(i, i + 1, row, n, last, percent))
-            size += len(i)
-            if size > PAIRS:
-                yield added_up(found)
-                found, size = [], 0
-        yield added_up(found)
-
-    return linked
-
-
 def crossed(percent: int):
-    """Of every column the pairs of rows in different components whose sizes can link. Rows come
-    sorted by size; row i meets the rows behind it that are no longer than it allows."""
+    """Of every column the pairs of rows in different components, and in no dense block together,
+    whose sizes can link. Rows come sorted by size; row i meets the rows behind it that are no
+    longer than it allows."""
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
         size = 0
-        for column, cell, n, row, last, root, block in by_column(batches, 7, 2):
+        for column, cell, n, row, last, root, block, *dense in by_column(batches, 7 + KEYS, 2):
             new = np.ones(len(column), bool)
             new[1:] = (column[1:] != column[:-1]) | (cell[1:] != cell[:-1])
             group = np.cumsum(new) - 1
@@ -258,6 +262,8 @@ def crossed(percent: int):
                     # A cell of two blocks has the pairs across them only.
                     ours = (cell[i] == -1) | (np.minimum(block[i], block[j]) * (1 << 20) + np.maximum(block[i], block[j]) == cell[i])
                     keep = (root[i] != root[j]) & ours
+                    for key in dense:
+                        keep &= (key[i] != key[j]) | (key[i] == 0)
                     if keep.any():
                         found.append(paired(i[keep], j[keep], row, n, last, percent))
                         size += int(keep.sum())
@@ -285,10 +291,9 @@ def behind() -> Column:
     return F.least(ra, rb)
 
 
-def needed(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(row, columns) of the rows in pairs, once each. A bit map of fixed size keeps most of the
+def needed(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """(row, columns) of the named rows, once each. A bit map of fixed size keeps most of the
     others from being shuffled; the join takes out the rest."""
-    names = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     bit = F.pmod(F.xxhash64("row"), F.lit(MAP_BITS)) + 1
     maps = names.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map"))
     whole = np.zeros((MAP_BITS // 32768, 4096), np.uint8)
@@ -323,7 +328,8 @@ def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verified(rows: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
     """Pairs (a, b), a > b, whose whole rows link."""
-    whole = written(needed(rows, pairs), f"{name}-rows")
+    names = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    whole = written(needed(rows, names), f"{name}-rows")
     left, right = (whole.select(F.col("row").alias(x), F.col("columns").alias(f"{x}_columns")) for x in ("a", "b"))
     joined = pairs.select("a", "b", "na", "nb").join(right, "b").join(left, "a").select("a", "b", "na", "nb", "a_columns", "b_columns")
     found = joined.mapInArrow(overlaps, "a long, b long, na long, nb long, shared long")
@@ -341,7 +347,107 @@ def in_blocks(multi: DataFrame, block: int) -> DataFrame:
     other = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("blocks"), F.lit(1).cast("long")) - 1)
     cell = F.transform(other, lambda x: F.least(x, F.col("block")) * (1 << 20) + F.greatest(x, F.col("block")))
     cells = F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(cell)
-    return dealt.select("column", F.explode(cells).alias("cell"), "n", "row", "last", "root", "block")
+    return dealt.select("column", F.explode(cells).alias("cell"), "n", "row", "last", "root", "block", *[f"k{i}" for i in range(KEYS)])
+
+
+def memberships(rows: DataFrame, dense: int) -> DataFrame:
+    """(row, n, i, key, members): the dense groups that a row is in; ``key`` is not zero."""
+    once = rows.filter("columns is not null").groupBy("row", "n").agg(F.first("keys").alias("keys"))
+    keyed = once.select("row", "n", F.posexplode("keys").alias("i", "least"))
+    keyed = keyed.select("row", "n", "i", F.xxhash64("i", "least").bitwiseOR(F.lit(1)).alias("key"))
+    groups = keyed.groupBy("i", "key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") >= dense)
+    return written(keyed.join(groups, ["i", "key"]), "dense-groups")
+
+
+class Forest:
+    """Disjoint sets of rows."""
+
+    def __init__(self, size: int) -> None:
+        self.up = list(range(size))
+        self.links: list[tuple[int, int]] = []
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def link(self, a: int, b: int) -> None:
+        p, q = self.find(a), self.find(b)
+        if p != q:
+            self.up[p] = q
+            self.links.append((a, b))
+
+
+def product(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many columns each row of ``left`` shares with each of ``right``."""
+    a, b = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(a, b)
+    total = np.zeros((len(left), len(right)), np.float32)
+    parts = []
+    for columns, rows in ((a, left), (b, right)):
+        row = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+        at = np.minimum(np.searchsorted(both, columns), max(0, len(both) - 1))
+        held = both[at] == columns if len(both) else np.zeros(len(columns), bool)
+        order = np.argsort(at[held], kind="stable")
+        parts.append((row[held][order], at[held][order], len(rows)))
+    for first in range(0, len(both), COLUMNS):
+        blocks = []
+        for row, at, size in parts:
+            some = slice(*np.searchsorted(at, [first, first + COLUMNS]))
+            block = np.zeros((size, min(COLUMNS, len(both) - first)), np.float32)
+            block[row[some], at[some] - first] = 1
+            blocks.append(block)
+        total += blocks[0] @ blocks[1].T
+    return total
+
+
+def multiplied(percent: int):
+    """The links of each dense block, as a forest. Rows come sorted by group and cell."""
+
+    def linked(names: list[int], sizes: list[int], blocks: list[int], columns: list[bytes]) -> pa.RecordBatch:
+        sets, n, side = [unpacked(c) for c in columns], np.array(sizes), np.array(blocks)
+        forest = Forest(len(names))
+        which = np.unique(side)
+        first, second = np.flatnonzero(side == which[0]), np.flatnonzero(side == which[-1])
+        for low in range(0, len(first), BLOCK):
+            for high in range(low if len(which) == 1 else 0, len(second), BLOCK):
+                i, j = first[low : low + BLOCK], second[high : high + BLOCK]
+                shared = product([sets[x] for x in i], [sets[x] for x in j])
+                linked = 100 * shared >= percent * (n[i][:, None] + n[j][None, :] - shared)
+                for x, y in zip(*np.nonzero(linked)):
+                    if i[x] != j[y]:
+                        forest.link(int(i[x]), int(j[y]))
+        pairs = [(max(names[a], names[b]), min(names[a], names[b])) for a, b in forest.links]
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for key, cell, row, n, block, columns in zip(*[batch.column(i) for i in range(6)]):
+                at = (key.as_py(), cell.as_py())
+                if at != now and held:
+                    yield linked(*map(list, zip(*held)))
+                    held = []
+                now = at
+                held.append((row.as_py(), n.as_py(), block.as_py(), columns.as_py()))
+        if held:
+            yield linked(*map(list, zip(*held)))
+
+    return links
+
+
+def dense_links(rows: DataFrame, groups: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b), a > b: forests of the links in each dense group."""
+    blocks = F.ceil(F.col("members") / block).cast("long")
+    own = F.pmod(F.xxhash64("row", "key"), blocks).alias("block")
+    other = F.sequence(F.lit(0).cast("long"), blocks - 1)
+    dealt = groups.select("row", "n", "key", own, other.alias("others"))
+    cell = F.explode(F.transform("others", lambda x: F.least(x, F.col("block")) * (1 << 31) + F.greatest(x, F.col("block")))).alias("cell")
+    dealt = dealt.select("row", "n", "key", "block", cell)
+    whole = needed(rows, groups.select("row").distinct())
+    joined = dealt.join(whole, "row").select("key", "cell", "row", "n", "block", "columns")
+    sent = joined.repartition("key", "cell").sortWithinPartitions("key", "cell")
+    return written(sent.mapInArrow(multiplied(percent), "a long, b long"), "dense-links")
 
 
 def join_similar(
@@ -352,7 +458,9 @@ def join_similar(
     percent: int = PERCENT,
     sample: int = SAMPLE,
     frequent: int = FREQUENT,
+    dense: int = DENSE,
     block: int = BLOCK,
+    many: int = MANY,
 ) -> DataFrame:
     """A row per document: doc_id, n_shingles (distinct), component_id.
 
@@ -362,20 +470,22 @@ def join_similar(
     have no shingle and link with nothing, not even each other: their component is their own id.
     Equal sets always link. A null id counts as largest and is a component's id only if no member
     has another. Rows that repeat come back as often. Other columns of ``docs`` are not read; an
-    empty table gives no rows."""
+    empty table gives no rows. ``sample`` to ``many`` say how the work is dealt out and change no
+    row."""
     rows = written(with_rows(docs, doc_id, text, words), "incidence")
+    groups = memberships(rows, dense)
+    first = components(dense_links(rows, groups, percent, block))
+
     common = frequent_columns(rows, sample, frequent)
     dealt = entries(rows, common, percent).repartition("column").sortWithinPartitions("column", "n", "row")
     prefixes = written(dealt.mapInArrow(shared_only, "column long, row long, n long, last long"), "prefixes")
-
-    ordered = prefixes.repartition("column").sortWithinPartitions("column", "n", "row")
-    chains = counted(ordered.mapInArrow(chained(percent), PAIR))
-    likely = chains.filter(2 * F.col("shared") >= asked(percent) - behind())
-    first = components(verified(rows, written(likely, "chains"), percent, "chain-links"))
-
-    multi = prefixes.join(first.select(F.col("a").alias("row"), F.col("b").alias("known")), "row", "left")
-    multi = multi.select("column", "row", "n", "last", F.coalesce("known", "row").alias("root"))
-    cells = in_blocks(multi, block).repartition("column", "cell").sortWithinPartitions("column", "cell", "n", "row")
+    nothing = F.lit(0).cast("long")
+    keys = groups.groupBy("row").agg(*[F.max(F.when(F.col("i") == i, F.col("key"))).alias(f"k{i}") for i in range(KEYS)])
+    known = first.select(F.col("a").alias("row"), F.col("b").alias("known"))
+    said = written(keys.join(known, "row", "full"), "dense-rows")
+    multi = prefixes.join(said, "row", "left")
+    multi = multi.select("column", "row", "n", "last", F.coalesce("known", "row").alias("root"), *[F.coalesce(f"k{i}", nothing).alias(f"k{i}") for i in range(KEYS)])
+    cells = in_blocks(multi, many).repartition("column", "cell").sortWithinPartitions("column", "cell", "n", "row")
     across = counted(cells.mapInArrow(crossed(percent), PAIR)).filter(F.col("shared") + behind() >= asked(percent))
     second = verified(rows, written(across, "pairs"), percent, "pair-links")
 

@@ -150,7 +150,7 @@ def edited(dice, base, changes):
     return text
 
 
-@pytest.mark.parametrize("how", [{}, {"block": 5, "sample": 20, "frequent": 2}])
+@pytest.mark.parametrize("how", [{}, {"block": 5, "dense": 3, "many": 4, "sample": 20, "frequent": 2}, {"dense": 1000, "many": 7}])
 def test_join_of_near_copies(spark, how):
     """Groups of copies, some at the edge of 0.8, around a passage that most texts share."""
     dice = random.Random(11)
