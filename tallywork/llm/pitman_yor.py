@@ -16,7 +16,11 @@ the contexts' hashes, added up, and sent back to the buckets that have the conte
 own, joined to the buckets in the next pass; the buckets are stored bucketed and don't move. Very
 frequent words are split over buckets by context as well; their totals (there are at most
 1 / HOT_SHARE) go to the driver. The scores of a chunk's documents are summed by bucket and sent
-back to their chunk. Which words are split comes from a small sample and changes no result."""
+back to their chunk. Which words are split comes from a small sample and changes no draw: each
+dish draws numbers that depend on its word, its context and the sweep.
+
+What is approximate: within a sweep all dishes are seated against the totals of the last sweep, with
+their own tables taken out, and not against each other's new ones, as one process would."""
 
 from __future__ import annotations
 
@@ -42,7 +46,10 @@ SWEEPS = 3
 STRENGTH, PARENT_STRENGTH = 10.0, 10.0
 CHUNK_TOKENS, CHUNK_DOCS = 1_500_000, 1 << 13
 HOT_SHARE, HOT_DOCS = 0.0005, 500
-MOST_BUCKETS = 1 << 16
+#: Bytes of text for a bucket: some 1.5 million tokens.
+BUCKET_BYTES = 10_000_000
+#: Spark's own bound for the files of a bucketed table; a file may hold several buckets.
+MOST_FILES = 100_000
 END = b" "
 HELD = np.uint16(1 << 15)
 KINDS = "bucket long, chunk long, counts binary, entries binary"
@@ -124,7 +131,7 @@ def counted(buckets: int, hot: frozenset[int]):
         spread = np.isin(hashes, hot_words)[entry_word]
         mixed = (hashes[entry_word[spread]] >> np.uint64(8)) + (hashes[entry_context[spread]] >> np.uint64(8)) * np.uint64(0x9E3779B97F4A7C15)
         entry_bucket[spread] = (mixed >> np.uint64(7)) % np.uint64(buckets)
-        entry_bucket = entry_bucket.astype(np.uint16)
+        entry_bucket = entry_bucket.astype(np.int32)
         order = np.argsort(entry_bucket, kind="stable").astype(np.int32)
         del w, u, doc
         entry_bucket, entry_word, entry_context, d, count = (x[order] for x in (entry_bucket, entry_word, entry_context, d, count))
@@ -250,31 +257,57 @@ class Model:
     parent_discount: float = 0.5
     sweeps: list[Sweep] = field(default_factory=list)
 
-    def parent(self, tables: np.ndarray, parents: np.ndarray, sweep: Sweep) -> np.ndarray:
-        """The parent's probability of words with so many tables below and above."""
+    def parent(self, tables: np.ndarray, parents: np.ndarray, sweep: Sweep, without: np.ndarray | float = 0.0) -> np.ndarray:
+        """The parent's probability of words with so many tables below and above, when ``without``
+        of all tables are taken out."""
         base = (PARENT_STRENGTH + self.parent_discount * sweep.parents) / (self.words + 1)
-        return (tables - self.parent_discount * parents + base) / (PARENT_STRENGTH + sweep.tables)
-
-
-def seated(customers: np.ndarray, rate: np.ndarray, discount: float, r: np.random.Generator) -> np.ndarray:
-    """Tables that so many customers open, one after the other: the next one opens a table with
-    odds of ``rate`` to (seated - discount * tables). From the 64th on, a sixteenth of those seated
-    come in together, with the odds of the first of them."""
-    order = np.argsort(-customers, kind="stable")
-    left, rate = customers[order], rate[order]
-    tables = (left > 0).astype(np.float64)
-    i, active = 1, int(np.searchsorted(-left, -1, "left"))  # more than one customer
-    while active:
-        together = max(1, i // 16)
-        own = slice(0, active)
-        arriving = np.minimum(together, left[own] - i)
-        chance = rate[own] / (rate[own] + i - discount * tables[own])
-        tables[own] += r.random(active) < chance if together == 1 else r.binomial(arriving, np.clip(chance, 0, 1))
-        i += together
-        active = int(np.searchsorted(-left[:active], -i, "left"))
-    out = np.empty_like(tables)
-    out[order] = tables
-    return out
+        return (np.maximum(tables - self.parent_discount * parents, 0) + base) / (PARENT_STRENGTH + sweep.tables - without)
+
+    def seated_above(self, below: np.ndarray, old: np.ndarray, sweep: Sweep, number: int, words: np.ndarray) -> np.ndarray:
+        """The parent's tables of words with so many tables below; its base is uniform."""
+        others = PARENT_STRENGTH + self.parent_discount * np.maximum(sweep.parents - old, 0)
+        return seated(below, others, np.full(len(words), 1 / (self.words + 1)), self.parent_discount, keys_of(2 * number + 1, words))
+
+
+def uniform(keys: np.ndarray, step: int) -> np.ndarray:
+    """Numbers between 0 and 1 that depend on key and step alone (splitmix64)."""
+    x = keys + np.uint64((step + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0**-53 + 2.0**-54
+
+
+def keys_of(sweep: int, words: np.ndarray, contexts: np.ndarray | None = None) -> np.ndarray:
+    """What the draws of a dish depend on: the sweep, the word and its context, not the bucket."""
+    keys = words * np.uint64(0xD6E8FEB86659FD93) + np.uint64(sweep)
+    return keys if contexts is None else keys ^ ((contexts + np.uint64(1)) * np.uint64(0xA0761D6478BD642F))
+
+
+def seated(customers: np.ndarray, strength: np.ndarray, chance: np.ndarray, discount: float, keys: np.ndarray) -> np.ndarray:
+    """Tables that so many customers of one dish open, one after the other.
+
+    With i seated at t tables, the next one opens a table with odds of
+    (strength + discount * t) * chance to i - discount * t. Exact for any number of customers:
+    while no table opens the probability only falls, so customers are passed over up to the next
+    one who would open a table at today's probability, and who does with the share it has by then."""
+    customers, tables = customers.astype(float), (customers > 0).astype(float)
+    at = np.flatnonzero(customers > 1)
+    i, t = np.ones(len(at)), np.ones(len(at))
+    most, strength, chance, keys = customers[at], strength[at], chance[at], keys[at]
+    step = 0
+    while len(at):
+        rate = (strength + discount * t) * chance
+        now = np.minimum(rate / (rate + i - discount * t), 1 - 1e-16)
+        arriving = i + np.floor(np.log(uniform(keys, step)) / np.log1p(-now))
+        go = arriving < most
+        if not go.all():
+            tables[at[~go]] = t[~go]
+            at, t, most, strength, chance, keys, rate, now, arriving = (x[go] for x in (at, t, most, strength, chance, keys, rate, now, arriving))
+        then = rate / (rate + arriving - discount * t)
+        t = t + (uniform(keys, step + 1) * now < then)
+        i = arriving + 1
+        step += 2
+    return tables
 
 
 def unpacked(counts: bytes) -> tuple[np.ndarray, ...]:
@@ -324,15 +357,13 @@ def replay(model: Model, bucket: int, counts: bytes, back: Back | None):
     for n in range(len(model.sweeps) + 1):
         sweep = model.sweeps[n] if n < len(model.sweeps) else None
         if n:
-            before = model.sweeps[n - 1]
-            r = np.random.default_rng([n, bucket])
-            parent = model.parent(below, above, before)
-            rate = (STRENGTH + model.discount * back.tables(n - 1)[context]) * parent[word]
-            tables = seated(count, rate, model.discount, r)
+            before, old, old_above = model.sweeps[n - 1], tables, above
+            # The dish's own tables are taken out of the context and of the parent before it is seated anew.
+            others = np.maximum(STRENGTH + model.discount * (back.tables(n - 1)[context] - old), STRENGTH)
+            tables = seated(count, others, model.parent(below[word] - old, above[word], before, old), model.discount, keys_of(2 * n, words[word], contexts[context]))
         below = np.bincount(word, tables, len(words))
         if n:
-            base = (PARENT_STRENGTH + model.parent_discount * before.parents) / (model.words + 1)
-            above = seated(np.where(split, 0, below).astype(np.int64), np.full(len(words), base), model.parent_discount, np.random.default_rng([n, bucket, 1]))
+            above = model.seated_above(np.where(split, 0, below), old_above, before, n, words)
         else:
             above = (below > 0).astype(float)
         own_below = below.copy()
@@ -350,9 +381,9 @@ def totals(model: Model, number: int, parts: int):
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known = batch.column(2).to_pylist() if number else [None] * batch.num_rows
-            for bucket, counts, back in zip(batch.column(0).to_pylist(), batch.column(1), known):
-                back = Back(back) if number else None
+            for i in range(batch.num_rows):
+                bucket, counts = batch.column(0)[i].as_py(), batch.column(1)[i]
+                back = Back(batch.column(2)[i].as_py()) if number else None
                 for n, tables, below, above, own, (words, per_word, contexts, word, context, count, split, place) in replay(model, bucket, counts.as_py(), back):
                     if n == number:
                         break
@@ -367,7 +398,7 @@ def totals(model: Model, number: int, parts: int):
                     found[-2] = int(per_word.sum())
                     found[-3] = int((per_word[~split] > 0).sum())
                     found[-4], found[-5] = int((count == 1).sum()), int((count == 2).sum())
-                    found[-6], found[-7] = int((own == 1).sum()), int((own == 2).sum())
+                    found[-6], found[-7] = int((own[~split] == 1).sum()), int((own[~split] == 2).sum())
                 else:
                     contexts, per_context = contexts[back.loose], [per_context[0][back.loose]]
                 part = ((contexts >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)).astype(np.int64)
@@ -439,11 +470,10 @@ def joined(buckets: DataFrame, sums: list[DataFrame], *columns: str) -> DataFram
     return own.join(back.hint("shuffle_hash"), "bucket", "left")
 
 
-def stats_of(buckets: DataFrame, model: Model, number: int, sums: list[DataFrame]) -> tuple[dict[int, int], np.ndarray]:
+def stats_of(buckets: DataFrame, parts: int, model: Model, number: int, sums: list[DataFrame]) -> tuple[dict[int, int], np.ndarray]:
     """One more pass. Its sums by context are put to ``sums``; those of split words and over all
     words are returned (the latter from -1 downwards), and of each range of contexts the tables that stay and those sent."""
-    parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts, size = min(MOST_BUCKETS, parts), 2 * len(model.hot) + SCALARS
+    size = 2 * len(model.hot) + SCALARS
     rows = joined(buckets, sums, "counts").mapInArrow(totals(model, number, parts), "part long, bucket long, data binary")
     rows = rows.repartition(parts, "part").sortWithinPartitions("part")
     sums.append(written(rows.mapInArrow(added(number, size), "bucket long, number int, part long, data binary"), f"context-sums-{number}"))
@@ -455,23 +485,24 @@ def stats_of(buckets: DataFrame, model: Model, number: int, sums: list[DataFrame
     return {(k if k < size - SCALARS else k - size): int(v) for k, v in enumerate(found)}, np.array(tables, float).reshape(-1, 2)
 
 
-def trained(buckets: DataFrame, hot: frozenset[int], sweeps: int, sums: list[DataFrame]) -> Model:
+def trained(buckets: DataFrame, parts: int, hot: frozenset[int], sweeps: int, sums: list[DataFrame]) -> Model:
     model = Model(np.array(sorted(hot), np.uint64))
     n = len(model.hot)
-    stats, tables = stats_of(buckets, model, 0, sums)
+    stats, tables = stats_of(buckets, parts, model, 0, sums)
     model.hot_counts = np.array([stats[j] for j in range(n)], float)
     model.tokens = stats[-2]
     model.words = stats[-3] + int((model.hot_counts > 0).sum())
     share = lambda once, twice: min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-    model.discount, model.parent_discount = share(stats[-4], stats[-5]), share(stats[-6], stats[-7])
     below = np.array([stats[n + j] for j in range(n)], float)
+    model.discount = share(stats[-4], stats[-5])
+    model.parent_discount = share(stats[-6] + int((below == 1).sum()), stats[-7] + int((below == 2).sum()))
     model.sweeps = [Sweep(tables[:, 1], below, (below > 0).astype(float), stats[-8], model.words)]  # every pair, and every word, with one table
     staying = tables[:, 0].sum()
     for number in range(1, sweeps + 1):
-        stats, tables = stats_of(buckets, model, number, sums)
+        stats, tables = stats_of(buckets, parts, model, number, sums)
         below = np.array([stats[n + j] for j in range(n)], float)
-        base = (PARENT_STRENGTH + model.parent_discount * model.sweeps[-1].parents) / (model.words + 1)
-        above = seated(below.astype(np.int64), np.full(n, base), model.parent_discount, np.random.default_rng([number]))
+        last = model.sweeps[-1]
+        above = model.seated_above(below, last.hot_parents, last, number, model.hot)
         model.sweeps.append(Sweep(np.append(tables[:, 1], staying), below, above, stats[-8], stats[-1] + int(above.sum())))
     return model
 
@@ -481,9 +512,10 @@ def evaluated(model: Model):
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, counts, entries, back in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist()):
+            for i in range(batch.num_rows):
+                bucket, counts, entries = batch.column(0)[i].as_py(), batch.column(1)[i], batch.column(2)[i]
                 average = np.float64(0.0)
-                back = Back(back)
+                back = Back(batch.column(3)[i].as_py())
                 context_tokens = back.tokens
                 for n, tables, below, above, _, (words, per_word, _, word, context, count, split, place) in replay(model, bucket, counts.as_py(), back):
                     if not n or n >= len(model.sweeps):
@@ -504,7 +536,7 @@ def evaluated(model: Model):
                 edges = np.concatenate([runs(places >> 15), [len(places)]])
                 rows = []
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b].astype("<u4"), sums[1][a:b].astype("<f8"), sums[2][a:b].astype("<f4"))
+                    part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b].astype("<u4"), sums[1][a:b].astype("<f8"), sums[2][a:b].astype("<f8"))
                     rows.append((bucket, int(chunks[places[a] >> 15]), part))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
@@ -534,7 +566,7 @@ def summed(model: Model, schema: T.StructType):
                     table = pa.ipc.open_stream(entries.as_py()).read_all()
                     sums = np.zeros((3, len(table)))
                 else:
-                    doc, *parts = unsqueezed(entries.as_py(), "<u2", "<u4", "<f8", "<f4")
+                    doc, *parts = unsqueezed(entries.as_py(), "<u2", "<u4", "<f8", "<f8")
                     for i, part in enumerate(parts):
                         sums[i, doc] += part
         if table is not None:
@@ -554,31 +586,37 @@ def frequent(docs: DataFrame) -> frozenset[int]:
     return frozenset(hash_of(word) for word, n in counts.items() if n >= least)
 
 
-def scored(docs: DataFrame, sweeps: int = SWEEPS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+def scored(docs: DataFrame, sweeps: int = SWEEPS, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """A row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, and
+    the text's perplexity.
 
     The model learns from documents whose crc32 of the id modulo 5 is not 1. Null texts are empty:
     one end token. Rows that repeat come back as often, and count as often in training; ids may be
     null (they train). Without training documents every token is unknown. Other columns are not
-    read; an empty table gives no rows. The buckets' counts are written to the shared folder; a
-    bucket has to fit a task's memory: let spark.sql.shuffle.partitions be a few for every
-    10 million tokens."""
+    read; an empty table gives no rows. The buckets' counts are written to the shared folder; there
+    is one for each ``bucket_bytes`` of text, whatever the session's settings. The draws depend on
+    word, context and sweep, so neither the number of buckets nor which words are split changes a
+    score (beyond the rounding of sums)."""
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     source = source.withColumn("held_out", fold("doc_id", 5) == 1)
     hot = frequent(source)
-    buckets = min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = 1 + int(size // bucket_bytes)
     rows = source.mapInArrow(counted(buckets, hot), KINDS)
     rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(gathered, KINDS)
     name = f"word_counts_{uuid.uuid4().hex}"
-    rows.write.bucketBy(buckets, "bucket").option("path", new_folder(spark, "word-counts")).format("parquet").saveAsTable(name)
+    rows.write.bucketBy(min(buckets, MOST_FILES), "bucket").option("path", new_folder(spark, "word-counts")).format("parquet").saveAsTable(name)
     table = spark.table(name)
+    table.schema  # resolved: the files are read from here on, the name is not needed any more
+    spark.sql(f"drop table {name}")
     own, sums = table.filter("bucket >= 0"), []
-    model = trained(own, hot, sweeps, sums)
+    model = trained(own, buckets, hot, sweeps, sums)
     schema = T.StructType([source.schema["doc_id"]] + [T.StructField(n, k) for n, k in (
         ("held_out", T.BooleanType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("train_tokens", T.LongType()),
         ("base_score", T.DoubleType()), ("score", T.DoubleType()),
     )])
     parts = joined(own, sums, "counts", "entries").mapInArrow(evaluated(model), "bucket long, chunk long, entries binary")
     parts = parts.union(table.filter("bucket < 0").select("bucket", "chunk", "entries"))
-    return parts.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(summed(model, schema), schema)
+    found = parts.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(summed(model, schema), schema)
+    return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -100,19 +100,103 @@ def test_seating_follows_the_restaurant(rate):
     """Mean number of tables against seating one customer at a time."""
     rng = random.Random(1)
     customers = np.array([0, 1, 2, 5, 40, 300])
-    means = np.mean([pitman_yor.seated(customers, np.full(6, rate), 0.6, np.random.default_rng(i)) for i in range(300)], axis=0)
+    strength, chance = np.full(6, 4 * rate), np.full(6, 0.25)
+    dishes = np.arange(6, dtype=np.uint64)
+    means = np.mean([pitman_yor.seated(customers, strength, chance, 0.6, pitman_yor.keys_of(i, dishes)) for i in range(300)], axis=0)
     plain = []
     for n in customers.tolist():
         runs = []
         for _ in range(300):
             tables = min(n, 1)
             for i in range(1, n):
-                tables += rng.random() < rate / (rate + i - 0.6 * tables)
+                open_ = (4 * rate + 0.6 * tables) * 0.25
+                tables += rng.random() < open_ / (open_ + i - 0.6 * tables)
             runs.append(tables)
         plain.append(np.mean(runs))
     assert np.allclose(means, plain, rtol=0.12, atol=0.1)
 
 
+def test_seating_of_very_many_customers():
+    """A million customers take a step per table or so, not one each; the mean grows like n ** discount."""
+    customers = np.full(200, 1_000_000)
+    tables = pitman_yor.seated(customers, np.full(200, 1.0), np.ones(200), 0.3, pitman_yor.keys_of(1, np.arange(200, dtype=np.uint64)))
+    # E[tables] + strength / discount = (strength / discount) * (strength + discount)_n / (strength)_n
+    want = (1 / 0.3) * (math.exp(math.lgamma(1_000_001.3) - math.lgamma(1.3) - math.lgamma(1_000_001) + math.lgamma(1.0)) - 1)
+    assert math.isclose(tables.mean(), want, rel_tol=0.05)
+
+
+def plain_scores(rows, sweeps, rng):
+    """The same model with one restaurant after the other and one customer after the other."""
+    pairs, tokens = Counter(), Counter()
+    for doc_id, text in rows:
+        if remainder(doc_id, 5) != 1:
+            own = [" ", *words(text), " "]
+            pairs.update(zip(own, own[1:]))
+            tokens.update(own[:-1])
+    known = {w for _, w in pairs}
+    share = lambda counts: min(0.95, max(0.05, sum(c == 1 for c in counts) / max(1, sum(c == 1 for c in counts) + 2 * sum(c == 2 for c in counts))))
+    tables = {p: 1 for p in pairs}
+    below = Counter(w for _, w in pairs)
+    discount, upper = share(list(pairs.values())), share(list(below.values()))
+    above = {w: 1 for w in known}
+    strength = pitman_yor.STRENGTH
+
+    def seat(n, odds, chance, d):
+        t = min(n, 1)
+        for i in range(1, n):
+            rate = (odds + d * t) * chance
+            t += rng.random() < rate / (rate + i - d * t)
+        return t
+
+    def parent(w, below, above, out=0):
+        base = (strength + upper * sum(above.values())) / (len(known) + 1)
+        return (max(below[w] - out - upper * above.get(w, 0), 0) + base) / (strength + sum(below.values()) - out)
+
+    found = []
+    for _ in range(sweeps):
+        per_context = Counter()
+        for (u, _), t in tables.items():
+            per_context[u] += t
+        new = {(u, w): seat(c, strength + discount * (per_context[u] - tables[u, w]), parent(w, below, above, tables[u, w]), discount) for (u, w), c in pairs.items()}
+        total = sum(above.values())
+        tables, below = new, Counter()
+        for (_, w), t in new.items():
+            below[w] += t
+        above = {w: seat(below[w], strength + upper * (total - above[w]), 1 / (len(known) + 1), upper) for w in known}
+        per_context = Counter()
+        for (u, _), t in tables.items():
+            per_context[u] += t
+        found.append((dict(tables), per_context, dict(above), Counter(below)))
+    out = {}
+    for doc_id, text in rows:
+        own = [" ", *words(text), " "]
+        score = 0.0
+        for u, w in zip(own, own[1:]):
+            p = [
+                (pairs[u, w] - discount * t.get((u, w), 0) + (strength + discount * per[u]) * parent(w, b, a)) / (strength + tokens[u])
+                for t, per, a, b in found
+            ]
+            score += math.log10(sum(p) / len(p))
+        out[doc_id] = score
+    return out
+
+
+def test_scores_against_one_customer_at_a_time(spark):
+    """The mean of plain runs, for a corpus of skewed words; and the same scores in any number of
+    buckets."""
+    dice = random.Random(4)
+    rows = [(i, " ".join(f"w{min(int(dice.expovariate(0.25)), 60)}" for _ in range(dice.randint(0, 40)))) for i in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in pitman_yor.scored(docs).collect()}
+    runs = [plain_scores(rows, pitman_yor.SWEEPS, random.Random(i)) for i in range(4)]
+    for doc_id, _ in rows:
+        want = np.mean([run[doc_id] for run in runs])
+        assert math.isclose(got[doc_id].score, want, rel_tol=0.02, abs_tol=0.2)
+        assert math.isclose(got[doc_id].perplexity, 10 ** (-got[doc_id].score / got[doc_id].n_tokens))
+    many = {r.doc_id: r.score for r in pitman_yor.scored(docs, bucket_bytes=2_000).collect()}
+    assert all(math.isclose(many[i], got[i].score, rel_tol=1e-9) for i, _ in rows)
+
+
 def test_scores_of_odd_rows(odd, nothing):
     got = pitman_yor.scored(clashing(odd, "n_tokens", "score", "bucket")).collect()
     assert len(got) == odd.count() and all(math.isfinite(r.score) and r.score < 0 for r in got)
