@@ -81,37 +81,40 @@ def basket_texts(lines: DataFrame, products: DataFrame, at_least: int) -> DataFr
 WIDE = 100
 
 
-def pair_counts(baskets: DataFrame, wide: DataFrame, several_wide: bool) -> DataFrame:
+def pairs_of(rows: DataFrame) -> DataFrame:
+    """(txn_id, a, b) of every two items, a < b, of a transaction."""
+    other = rows.select("txn_id", F.col("item").alias("b"))
+    return rows.select("txn_id", F.col("item").alias("a")).join(other, "txn_id").filter("a < b")
+
+
+def looked_up(pairs: DataFrame, wide: DataFrame) -> DataFrame:
+    """(txn_id, a, b) of the given pairs in wide transactions."""
+    first = wide.select("txn_id", F.col("item").alias("a"))
+    second = wide.select("txn_id", F.col("item").alias("b"))
+    return pairs.select("a", "b").join(first, "a").join(second, ["txn_id", "b"]).select("txn_id", "a", "b")
+
+
+def counted(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def pair_counts(narrow: DataFrame, wide: DataFrame, several_wide: bool) -> DataFrame:
     """(a, b, n): pairs of items, a < b, in two transactions or more.
 
     Pairs are listed in narrow transactions only. Those that a narrow one has are looked up in the
     wide ones; a pair of wide ones alone counts if at least two share it, and is listed from the
     items that two wide ones have."""
-    narrow = baskets.join(wide.select("txn_id").distinct(), "txn_id", "left_anti")
-
-    def listed(rows: DataFrame) -> DataFrame:
-        other = rows.select("txn_id", F.col("item").alias("b"))
-        pairs = rows.select("txn_id", F.col("item").alias("a")).join(other, "txn_id").filter("a < b")
-        return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-
-    counts = listed(narrow)
-    parts = counts.unionByName(looked_up(counts, wide))
+    counts = counted(pairs_of(narrow), "a", "b")
+    parts = counts.unionByName(counted(looked_up(counts, wide), "a", "b"))
     if several_wide:
-        shared = wide.groupBy("item").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("item")
-        parts = parts.unionByName(listed(wide.join(shared, "item", "left_semi")).join(counts, ["a", "b"], "left_anti"))
+        shared = counted(wide, "item").filter("n > 1").select("item")
+        parts = parts.unionByName(counted(pairs_of(wide.join(shared, "item", "left_semi")), "a", "b").join(counts, ["a", "b"], "left_anti"))
     return parts.groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
-def looked_up(pairs: DataFrame, wide: DataFrame) -> DataFrame:
-    """How many wide transactions have both items of a pair; pairs of none are left out."""
-    return occurrences(pairs, wide).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-
-
-def occurrences(pairs: DataFrame, baskets: DataFrame) -> DataFrame:
-    """(txn_id, a, b) of the pairs that a transaction has."""
-    first = baskets.select("txn_id", F.col("item").alias("a"))
-    second = baskets.select("txn_id", F.col("item").alias("b"))
-    return pairs.select("a", "b").join(first, "a").join(second, ["txn_id", "b"]).select("txn_id", "a", "b")
+def occurrences(pairs: DataFrame, narrow: DataFrame, wide: DataFrame) -> DataFrame:
+    """(txn_id, a, b) of the given pairs in all transactions."""
+    return pairs_of(narrow).join(pairs, ["a", "b"], "left_semi").select("txn_id", "a", "b").unionByName(looked_up(pairs, wide))
 
 
 def next_level(level: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -131,32 +134,33 @@ def frequent_sets(lines: DataFrame, products: DataFrame, size: int, wide: int =
     Level by level: items of two transactions or more, pairs of them, sets of three whose pairs are
     all frequent, and so on, counted by a join per level and bounded at ``size``. No set is more
     frequent than its rarest pair, so the search starts at the count that enough pairs have for one
-    set. Where no set reaches it, the next bound is the best set found so far, or half the bound. A
-    transaction with very many items lists no pairs of its own. Where no set is in two transactions,
-    all are equally frequent: each transaction gives its first by name."""
+    set; it ends when the best set found is more frequent than every pair not yet taken. The next
+    bound is the best count so far, or half the last bound. A transaction with very many items lists
+    no pairs of its own. Where no set is in two transactions, all are equally frequent: each
+    transaction gives its first by name."""
     names = lines.join(products.select("product_id", F.col("product_name").alias("item")), "product_id").select("txn_id", "item").distinct()
     names = cut_lineage(names)
-    often = names.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("item")
-    baskets = cut_lineage(names.join(often, "item", "left_semi").select("txn_id", "item"))
-    large = baskets.groupBy("txn_id").agg(F.count(F.lit(1)).alias("items")).filter(F.col("items") > wide).select("txn_id")
-    large = cut_lineage(baskets.join(large, "txn_id", "left_semi"))
+    baskets = names.join(counted(names, "item").filter("n > 1"), "item", "left_semi").select("txn_id", "item")
+    sizes = counted(baskets, "txn_id")
+    large = sizes.filter(F.col("n") > wide).select("txn_id")
+    narrow, large = cut_lineage(baskets.join(large, "txn_id", "left_anti")), cut_lineage(baskets.join(large, "txn_id", "left_semi"))
     several = large.agg(F.countDistinct("txn_id").alias("n")).first()["n"] > 1
-    pairs = cut_lineage(pair_counts(baskets, large, several))
+    pairs = cut_lineage(pair_counts(narrow, large, several))
     needed = size * (size - 1) // 2
     top = pairs.orderBy(F.col("n").desc()).limit(needed).agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("rows")).first()
-    bound = top["n"] if top["rows"] == needed else 1
+    bound = top["n"] if top["rows"] == needed else 0
     while bound > 1:
-        found_in = occurrences(pairs.filter(F.col("n") >= bound), baskets)
-        level = found_in.select("txn_id", F.array("a", "b").alias("items"))
-        counts = level.groupBy("items").agg(F.count(F.lit(1)).alias("n"))
+        pairs_in = occurrences(pairs.filter(F.col("n") >= bound), narrow, large)
+        level = pairs_in.select("txn_id", F.array("a", "b").alias("items"))
         for _ in range(size - 2):
-            level = next_level(level, found_in)
-            counts = level.groupBy("items").agg(F.count(F.lit(1)).alias("n"))
-        counts = cut_lineage(counts)
+            level = next_level(level, pairs_in)
+        counts = cut_lineage(counted(level, "items"))
         best = counts.agg(F.max("n").alias("n")).first()["n"] or 0
-        if best >= bound:
-            return named(counts.filter(F.col("n") >= bound))
-        bound = max(best, bound // 2)
+        # A set not counted yet has a rarer pair, so it is no more frequent than the best of those.
+        rarer = pairs.filter(F.col("n") < bound).agg(F.max("n").alias("n")).first()["n"] or 0
+        if best > max(1, rarer) or best >= bound:
+            return named(counts.filter(F.col("n") == best))
+        bound = min(max(best, bound // 2), rarer)
     return named(first_of_each(names, size).distinct().withColumn("n", F.lit(1).cast("bigint")))
 
 

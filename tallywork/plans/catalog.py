@@ -7,7 +7,7 @@ from importlib import import_module
 
 from tallywork.plans.registry import Registry
 
-STUDIES = ("purchases", "orders", "subscriptions", "bank", "weekly", "baskets", "interests")
+STUDIES = ("purchases", "orders", "subscriptions", "bank", "weekly", "baskets", "interests", "growth")
 
 
 @lru_cache(maxsize=1)

@@ -35,6 +35,10 @@ from events"""),
 select o_orderkey as txn_id, o_custkey as customer_id, cast(o_orderdate as date) as txn_date,
        case o_orderstatus when 'F' then 'deposit' when 'O' then 'purchase' else 'withdrawal' end as txn_type,
        cast(o_totalprice as decimal(18,2)) as txn_amount
+from orders"""),
+    "v_heads": ((), """
+select o_orderkey as txn_id, o_custkey as customer_id, cast(o_orderdate as date) as txn_date, cast(year(o_orderdate) as int) as year,
+       o_orderstatus as status, o_orderpriority as priority, cast(o_totalprice as decimal(18,2)) as amount
 from orders"""),
     "v_nodes": ((), """
 select o.o_custkey as customer_id, n.n_regionkey as region_id, cast(o.o_orderkey % 5 + 1 as int) as node_id,
