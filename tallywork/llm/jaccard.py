@@ -16,8 +16,9 @@ the counts of its pairs, and a grouping adds up those of all tasks. A count over
 complete up to the place where the shorter prefix ends (in the order of the columns), so the whole
 overlap is at most the count plus the columns of that row behind its prefix. Pairs for which that
 is less than the overlap their sizes call for are discarded; the others are counted over whole
-rows. Pairs of a dense block or of one component are not counted again. A column of more than
-MANY rows is cut into blocks of rows, each two of them in a task of its own."""
+rows. Pairs of a dense block or of one component are not counted again. Two rows that could not
+link by the frequent columns of their prefixes alone are not counted in those, but taken to share
+them. A column of more than MANY rows is cut into blocks of rows, each two of them in a task of its own."""
 
 from __future__ import annotations
 
@@ -39,10 +40,11 @@ PERCENT = 80
 #: A shingle in the matrix is 48 bits of its hash; two different ones of a pair of documents with
 #: m and n shingles are the same there with a chance of m * n / 2**48.
 BITS = 48
-#: Documents, expected, on which the frequent columns are found. They only order the columns.
-SAMPLE = 10_000
-#: Columns in this many documents of the sample are frequent: SAMPLE / 1000.
-FREQUENT = 10
+#: Documents, expected, on which the frequent columns are found. Which they are decides in what
+#: order columns are taken and where a pair is counted, not what is found.
+SAMPLE = 20_000
+#: Columns in this many documents of the sample are frequent.
+FREQUENT = 6
 #: Orders in which the least column of a row names its groups, and rows from which a group is dense.
 #: Both only decide where a pair is multiplied.
 KEYS = 6
@@ -55,7 +57,9 @@ MANY = 8192
 PAIRS = 500_000
 #: Bits of the map of rows that are needed whole: a fixed size, whatever the number of rows.
 MAP_BITS = 1 << 24
-PAIR = "a long, b long, na long, nb long, ra long, rb long, shared long"
+PREFIX = ["column", "row", "n", "last", "often"]
+PREFIX_TYPES = ", ".join(f"{name} long" for name in PREFIX)
+PAIR = "a long, b long, na long, nb long, more long, shared long"
 
 
 class Words(dict):
@@ -163,7 +167,8 @@ def prefix(n, percent: int):
 
 
 def entries(rows: DataFrame, common: tuple[np.ndarray, np.ndarray], percent: int) -> DataFrame:
-    """(column, row, n, last): the prefix of each row; ``last`` is its last column in the order."""
+    """(column, row, n, last, often): the prefix of each row, the last column in it and the number
+    of its frequent ones."""
     names, classes = common
 
     def ordered(columns: np.ndarray) -> np.ndarray:
@@ -183,16 +188,17 @@ def entries(rows: DataFrame, common: tuple[np.ndarray, np.ndarray], percent: int
             if not parts:
                 continue
             last = np.array([part[-1] for part in parts], np.uint64)
+            often = np.array([len(part) - np.searchsorted(part, np.uint64(1 << BITS)) for part in parts])
             row, n = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
-            made = [np.concatenate(parts).view(np.int64), row, n, np.repeat(last, sizes).view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["column", "row", "n", "last"])
+            made = [np.concatenate(parts).view(np.int64), row, n, np.repeat(last, sizes).view(np.int64), np.repeat(often, sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=PREFIX)
 
-    return rows.filter("columns is not null").select("row", "n", "columns").mapInArrow(spread, "column long, row long, n long, last long")
+    return rows.filter("columns is not null").select("row", "n", "columns").mapInArrow(spread, PREFIX_TYPES)
 
 
 def added_up(pairs: list[np.ndarray]) -> pa.RecordBatch:
-    """Equal pairs of (a, b, na, nb, ra, rb) once, with their number."""
-    every = np.concatenate(pairs, axis=1) if pairs else np.zeros((6, 0), np.int64)
+    """Equal pairs of (a, b, na, nb, more) once, with their number."""
+    every = np.concatenate(pairs, axis=1) if pairs else np.zeros((5, 0), np.int64)
     order = np.lexsort((every[1], every[0]))
     every = every[:, order]
     new = np.ones(every.shape[1], bool)
@@ -200,16 +206,22 @@ def added_up(pairs: list[np.ndarray]) -> pa.RecordBatch:
     starts = np.flatnonzero(new)
     counts = np.diff(np.append(starts, every.shape[1]))
     arrays = [pa.array(x) for x in every[:, starts]] + [pa.array(counts.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "na", "nb", "ra", "rb", "shared"])
+    return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "na", "nb", "more", "shared"])
 
 
-def paired(i: np.ndarray, j: np.ndarray, row, n, last, percent: int) -> np.ndarray:
-    """Pairs of the given places, smaller name first: names, sizes, and what each row has behind its
-    prefix if its prefix ends first, else -1."""
+def paired(i: np.ndarray, j: np.ndarray, column, row, n, last, often, percent: int) -> np.ndarray:
+    """Pairs of the given places, smaller name first: names, sizes, and how much the rows can share
+    besides what is counted, too. That is what the row whose prefix ends first has behind it (of
+    two that end alike the fewer), and the frequent columns of both prefixes where they are too few
+    to link the pair; such a pair is left out at frequent columns."""
     rest = n - prefix(n, percent)
     a, b = np.where(row[i] < row[j], i, j), np.where(row[i] < row[j], j, i)
-    first, second = last[a] <= last[b], last[b] <= last[a]
-    return np.stack([row[a], row[b], n[a], n[b], np.where(first, rest[a], -1), np.where(second, rest[b], -1)])
+    behind = np.where(last[a] < last[b], rest[a], np.where(last[b] < last[a], rest[b], np.minimum(rest[a], rest[b])))
+    both = np.minimum(often[a], often[b])
+    apart = both + behind < -(-percent * (n[a] + n[b]) // (100 + percent))
+    keep = ~(apart & (column[i] >> BITS > 0))
+    a, b, more = a[keep], b[keep], (behind + np.where(apart, both, 0))[keep]
+    return np.stack([row[a], row[b], n[a], n[b], more])
 
 
 def by_column(batches: Iterator[pa.RecordBatch], fields: int, cells: int) -> Iterator[np.ndarray]:
@@ -244,7 +256,7 @@ def crossed(percent: int):
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
         size = 0
-        for column, cell, n, row, last, root, block, *dense in by_column(batches, 7 + KEYS, 2):
+        for column, cell, n, row, last, often, root, block, *dense in by_column(batches, 8 + KEYS, 2):
             new = np.ones(len(column), bool)
             new[1:] = (column[1:] != column[:-1]) | (cell[1:] != cell[:-1])
             group = np.cumsum(new) - 1
@@ -265,8 +277,8 @@ def crossed(percent: int):
                     for key in dense:
                         keep &= (key[i] != key[j]) | (key[i] == 0)
                     if keep.any():
-                        found.append(paired(i[keep], j[keep], row, n, last, percent))
-                        size += int(keep.sum())
+                        found.append(paired(i[keep], j[keep], column, row, n, last, often, percent))
+                        size += found[-1].shape[1]
                 if size > PAIRS:
                     yield added_up(found)
                     found, size = [], 0
@@ -277,7 +289,7 @@ def crossed(percent: int):
 
 
 def counted(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("a", "b").agg(*[F.max(x).alias(x) for x in ("na", "nb", "ra", "rb")], F.sum("shared").alias("shared"))
+    return pairs.groupBy("a", "b").agg(*[F.max(x).alias(x) for x in ("na", "nb", "more")], F.sum("shared").alias("shared"))
 
 
 def asked(percent: int) -> Column:
@@ -285,12 +297,6 @@ def asked(percent: int) -> Column:
     return F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / F.lit(100 + percent))
 
 
-def behind() -> Column:
-    """What the row whose prefix ends first has behind it; of two that end alike the fewer."""
-    ra, rb = (F.when(F.col(x) >= 0, F.col(x)) for x in ("ra", "rb"))
-    return F.least(ra, rb)
-
-
 def needed(rows: DataFrame, names: DataFrame) -> DataFrame:
     """(row, columns) of the named rows, once each. A bit map of fixed size keeps most of the
     others from being shuffled; the join takes out the rest."""
@@ -347,7 +353,7 @@ def in_blocks(multi: DataFrame, block: int) -> DataFrame:
     other = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("blocks"), F.lit(1).cast("long")) - 1)
     cell = F.transform(other, lambda x: F.least(x, F.col("block")) * (1 << 20) + F.greatest(x, F.col("block")))
     cells = F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(cell)
-    return dealt.select("column", F.explode(cells).alias("cell"), "n", "row", "last", "root", "block", *[f"k{i}" for i in range(KEYS)])
+    return dealt.select("column", F.explode(cells).alias("cell"), "n", "row", "last", "often", "root", "block", *[f"k{i}" for i in range(KEYS)])
 
 
 def memberships(rows: DataFrame, dense: int) -> DataFrame:
@@ -478,15 +484,15 @@ def join_similar(
 
     common = frequent_columns(rows, sample, frequent)
     dealt = entries(rows, common, percent).repartition("column").sortWithinPartitions("column", "n", "row")
-    prefixes = written(dealt.mapInArrow(shared_only, "column long, row long, n long, last long"), "prefixes")
+    prefixes = written(dealt.mapInArrow(shared_only, PREFIX_TYPES), "prefixes")
     nothing = F.lit(0).cast("long")
     keys = groups.groupBy("row").agg(*[F.max(F.when(F.col("i") == i, F.col("key"))).alias(f"k{i}") for i in range(KEYS)])
     known = first.select(F.col("a").alias("row"), F.col("b").alias("known"))
     said = written(keys.join(known, "row", "full"), "dense-rows")
     multi = prefixes.join(said, "row", "left")
-    multi = multi.select("column", "row", "n", "last", F.coalesce("known", "row").alias("root"), *[F.coalesce(f"k{i}", nothing).alias(f"k{i}") for i in range(KEYS)])
+    multi = multi.select(*PREFIX, F.coalesce("known", "row").alias("root"), *[F.coalesce(f"k{i}", nothing).alias(f"k{i}") for i in range(KEYS)])
     cells = in_blocks(multi, many).repartition("column", "cell").sortWithinPartitions("column", "cell", "n", "row")
-    across = counted(cells.mapInArrow(crossed(percent), PAIR)).filter(F.col("shared") + behind() >= asked(percent))
+    across = counted(cells.mapInArrow(crossed(percent), PAIR)).filter(F.col("shared") + F.col("more") >= asked(percent))
     second = verified(rows, written(across, "pairs"), percent, "pair-links")
 
     names = rows.filter("n > 0").groupBy("row").agg(F.min("doc_id").alias("least"))
@@ -506,11 +512,12 @@ def join_similar(
 
 def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows, each once, of columns that more than one row has."""
-    for column, row, n, last in by_column(batches, 4, 1):
-        new = np.ones(len(column), bool)
-        new[1:] = (column[1:] != column[:-1]) | (row[1:] != row[:-1])
-        column, row, n, last = (x[new] for x in (column, row, n, last))
+    for every in by_column(batches, len(PREFIX), 1):
+        new = np.ones(every.shape[1], bool)
+        new[1:] = (every[:2, 1:] != every[:2, :-1]).any(axis=0)
+        every = every[:, new]
+        column = every[0]
         same = np.zeros(len(column) + 1, bool)
         same[1:-1] = column[1:] == column[:-1]
         keep = same[1:] | same[:-1]
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (column, row, n, last)], names=["column", "row", "n", "last"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in every], names=PREFIX)
