@@ -53,10 +53,10 @@ def in_intervals(
 
     dealt = place.withColumn("_bin", bin_of(F.col("_x")))
     counts = dealt.groupBy("_bin").agg(F.count(F.lit(1)).alias("_n"))
-    parts = cut_lineage(counts.select("_bin", F.greatest(F.lit(1), F.ceil(F.col("_n") / per_bin)).cast("int").alias("_parts")))
+    parts = cut_lineage(counts.select("_bin", F.greatest(F.lit(1), F.ceil(F.col("_n") / per_bin)).cast("long").alias("_parts")))
     left = dealt.join(parts, "_bin").withColumn("_part", F.pmod(F.xxhash64(*points.columns), F.col("_parts")))
     copies = known.withColumn("_bin", F.explode(F.sequence(bin_of(F.col("_low")), bin_of(F.col("_high")))))
-    right = copies.join(parts, "_bin").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).cast("long")).drop("_parts")
+    right = copies.join(parts, "_bin").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
     end = (F.col(at) <= F.col(high)) if closed else (F.col(at) < F.col(high))
     inside = (F.col(at) >= F.col(low)) & (F.col(high).isNull() | end)
-    return left.drop("_parts", "_x").withColumn("_part", F.col("_part").cast("long")).join(right, ["_bin", "_part"]).filter(inside).select(*joined_columns)
+    return left.drop("_parts", "_x").join(right, ["_bin", "_part"]).filter(inside).select(*joined_columns)
