@@ -24,7 +24,6 @@ their own tables taken out, and not against each other's new ones, as one proces
 
 from __future__ import annotations
 
-import ctypes
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import new_folder, text_of, written
+from tallywork.llm.common import new_folder, released, text_of, written
 from tallywork.llm.labelled import fold
 
 SWEEPS = 3
@@ -339,13 +338,6 @@ class Back:
         return out
 
 
-def released() -> None:
-    """Gives the memory of freed arrays back to the system: a worker lives on after its task."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def replay(model: Model, bucket: int, counts: bytes, back: Back | None):
     """The bucket's state after each sweep known so far, and after one more: (tables of pairs,
     tables of words, parent's tables of words, sweep). A sweep depends on the one before and on

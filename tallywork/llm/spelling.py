@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.llm.common import text_of, written
+from tallywork.llm.common import released, text_of, written
 
 #: Letters of a word, all in Latin-1.
 LETTERS = "A-Za-zÀ-ÿ"
@@ -33,11 +33,12 @@ RATIO = 10
 #: One in so many runs, by its hash, loses a letter.
 DELETED = 31
 #: Different words that a task counts before it passes them on.
-KEPT = 300_000
+KEPT = 150_000
 #: Words of one chunk in one block.
 BLOCK = 4096
-#: Comparisons made at a time.
-STEP = 2_000_000
+#: Comparisons made at a time, and rows held until whole groups of them are compared.
+STEP = 400_000
+HELD = 80_000
 
 
 def run_counts(docs: DataFrame, doc_id: str, text: str, shortest: int) -> DataFrame:
@@ -189,7 +190,7 @@ def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
                 continue
             held.append(batch)
             size += batch.num_rows
-            if size >= 200_000 or sum(x.nbytes for x in held) >= 1 << 25:
+            if size >= HELD or sum(x.nbytes for x in held) >= 1 << 24:
                 table = pa.Table.from_batches(held)
                 ends = [table.column(c)[size - 1].as_py() for c in ("length", "key", "block")]
                 same = np.ones(size, bool)
@@ -202,6 +203,8 @@ def near_pairs(words: DataFrame, block: int = BLOCK) -> DataFrame:
                     size -= edge
         if held:
             yield from flush(pa.Table.from_batches(held))
+        del held
+        released()
 
     rows = dealt(words, block).repartition("length", "key", "block").sortWithinPartitions("length", "key", "block", "kind")
     return rows.mapInArrow(found, "u string, v string, nu long, nv long")
