@@ -20,12 +20,12 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id."""
-    return exact_dedup.exact_groups(docs.select(COLUMNS)).filter("kept").select(COLUMNS)
+    """Of equal texts one row, that of the smallest id, however often the table has it."""
+    return exact_dedup.one_of_each(docs.select(COLUMNS))
 
 
 def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
+    """Of each group of near copies one row, that of the smallest id."""
     return simhash.one_of_each(docs.select(COLUMNS))
 
 

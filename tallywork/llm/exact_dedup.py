@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.llm.common import single_spaced, text_of, without
+from tallywork.llm.common import single_spaced, text_of, without, written
 
 #: Bytes of distinct texts that one table holds.
 TABLE_BYTES = 64_000_000
@@ -189,3 +189,15 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ta
         .withColumn("keep_id", F.col("keep_id").cast(docs.schema[doc_id].dataType))
         .withColumn("kept", F.col(doc_id).eqNullSafe(F.col("keep_id")))
     )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of equal texts, all columns: that of the smallest id, null ids last; of
+    rows that share it one, chosen by a hash of all columns. An empty table gives no rows.
+
+    A group of one row, and most are, is passed on as it is."""
+    found = exact_groups(docs, doc_id, text).filter("kept").select(*docs.columns, "group_size", "text_sha256")
+    found = written(found, "kept")
+    several = found.filter("group_size > 1").groupBy("text_sha256")
+    picked = several.agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    return found.filter("group_size = 1").select(*docs.columns).unionByName(picked.select("row.*"))

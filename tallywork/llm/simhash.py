@@ -59,18 +59,22 @@ def fingerprint(text: str) -> int:
 
 
 def with_fingerprints(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, fp): fingerprints as signed longs."""
-    source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    schema = T.StructType([source.schema["doc_id"], T.StructField("fp", T.LongType())])
+    """(doc_id, fp, content): fingerprints as signed longs, and a hash of the text."""
+    source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"), content_of(text).alias("content"))
+    schema = T.StructType([source.schema["doc_id"], T.StructField("fp", T.LongType()), T.StructField("content", T.LongType())])
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(x.as_py()) for x in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2)], names=schema.names)
 
     return source.mapInArrow(computed, schema)
 
 
+def content_of(text: str) -> Column:
+    return F.xxhash64(text_of(text))
+
+
 def embedding(fp: Column) -> Column:
     """Bit counts of the two-bit segments in unary code."""
     low = F.lit(LOW_BITS).cast("long")
@@ -195,6 +199,13 @@ def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield forest.edges()
 
 
+def linked_kinds(kinds: DataFrame) -> DataFrame:
+    """(fp, least, root) from distinct fingerprints (fp, least): the smallest fingerprint that links reach."""
+    cells = grid(kinds.select("fp")).repartition("table", "cell").sortWithinPartitions("table", "cell", "fp")
+    roots = components(cells.mapInArrow(linked, "a long, b long"))
+    return kinds.join(roots, kinds["fp"] == roots["a"], "left").select("fp", "least", F.coalesce("b", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per document: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -204,13 +215,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     repeat come back as often. Other columns of ``docs`` are not read; an empty table gives no
     rows.
 
-    The fingerprints, 16 bytes a document, are written to the shared folder, as they are needed
+    The fingerprints, 24 bytes a document, are written to the shared folder, as they are needed
     three times. The grid holds distinct fingerprints, so copies cost nothing there."""
     prints = written(with_fingerprints(docs, doc_id, text), "fingerprints")
     kinds = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    cells = grid(kinds.select("fp")).repartition("table", "cell").sortWithinPartitions("table", "cell", "fp")
-    roots = components(cells.mapInArrow(linked, "a long, b long"))
-    kinds = kinds.join(roots, kinds["fp"] == roots["a"], "left").select("fp", "least", F.coalesce("b", "fp").alias("root"))
+    kinds = linked_kinds(kinds)
     least = kinds.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = kinds.join(least, "root").select(F.col("fp").alias("kind"), "component_id")
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
@@ -218,9 +227,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that are the first of their component, all columns. Rows that share an id are
-    one document, which stays if one of its rows is the first; rows without an id stay."""
-    kept = F.bool_or(F.col("doc_id") == F.col("component_id")).alias("kept")
-    found = near_duplicates(docs, doc_id, text).filter("doc_id is not null").groupBy("doc_id").agg(kept)
-    drop = found.filter("not kept").select(F.col("doc_id").alias("__drop"))
-    return docs.join(drop, docs[doc_id] == drop["__drop"], "left_anti")
+    """One row of each component, all columns: that of the smallest id, null ids last; of rows with
+    one id the one of the smallest hash of its text, and of rows that repeat both any one, chosen by
+    a hash of all columns. An empty table gives no rows.
+
+    Only what goes is joined to the documents; rows that stay are not moved."""
+    prints = written(with_fingerprints(docs, doc_id, text), "fingerprints")
+    kinds = linked_kinds(prints.groupBy("fp").agg(F.min("doc_id").alias("least"))).select(F.col("fp").alias("kind"), "root")
+    rows = prints.join(kinds, prints["fp"] == kinds["kind"]).groupBy("root", "doc_id", "content").agg(F.count(F.lit(1)).alias("rows"))
+    rows = written(rows, "members")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("first")
+    least = rows.groupBy("root").agg(first, F.count(F.lit(1)).alias("members")).filter("members > 1").drop("members")
+    others = rows.join(least, "root").filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("content") == F.col("first.content"))))
+    marked = docs.withColumns({"__id": F.col(doc_id), "__content": content_of(text)})
+
+    def at(found: DataFrame) -> Column:
+        return marked["__id"].eqNullSafe(found["__other"]) & (marked["__content"] == found["__text"])
+
+    def named(found: DataFrame) -> DataFrame:
+        return found.select(F.col("doc_id").alias("__other"), F.col("content").alias("__text"))
+
+    gone, repeated = written(named(others), "gone"), written(named(rows.filter("rows > 1")).distinct(), "repeated")
+    marked = marked.join(gone, at(gone), "left_anti")
+    once = marked.join(repeated, at(repeated), "left_anti").select(*docs.columns)
+    again = marked.join(repeated, at(repeated), "left_semi")
+    picked = again.groupBy("__id", "__content").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    return once.unionByName(picked.select("row.*"))
