@@ -7,6 +7,7 @@ one probability. Only the winning position of a filter has a gradient, so traini
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +19,9 @@ from pyspark.sql import types as T
 from tallywork.llm.common import text_of
 from tallywork.llm.labelled import fold, sample
 
-#: Bound of the training sample, per label, and of the chunks that training takes of a document.
-DOCS_PER_LABEL, TRAINING_CHUNKS = 2500, 6
+#: Bounds of the training sample: documents per label, and chunks of a document (28 kB of text; of a
+#: longer one so many of its chunks, chosen by their hash). The driver holds no more than these.
+DOCS_PER_LABEL, TRAINING_CHUNKS = 2500, 64
 CHUNK, OVERLAP = 512, 64
 WIDTH = 8
 BYTE_DIM, FILTERS, HIDDEN = 8, 32, 16
@@ -143,13 +145,35 @@ class Network:
             self.p[k] = (self.p[k] - RATE * step).astype(np.float32)
 
 
-def fit(rows: list[tuple[str, int]], epochs: int = EPOCHS) -> Network | None:
-    """A network from (text, label); None without texts of both labels. Labels weigh alike."""
-    rows = sorted((text, label) for text, label in rows if text)
+def training_chunks(raw: bytes) -> np.ndarray:
+    """All chunks of a text, or TRAINING_CHUNKS of them by their hash."""
+    found = chunks(raw)
+    if len(found) <= TRAINING_CHUNKS:
+        return np.ascontiguousarray(found)
+    by_hash = np.argsort([zlib.crc32(b"%d:" % i + c.tobytes()) for i, c in enumerate(found)], kind="stable")
+    return np.ascontiguousarray(found[np.sort(by_hash[:TRAINING_CHUNKS])])
+
+
+def cut(texts: DataFrame) -> DataFrame:
+    """(chunks, label) of labelled texts: what training takes of each, in one binary."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1)):
+                raw = text.as_py().encode("utf-8", "replace")
+                if raw:
+                    yield pa.RecordBatch.from_arrays([pa.array([training_chunks(raw).tobytes()], pa.binary()), pa.array([label.as_py()], pa.int32())], names=["chunks", "label"])
+
+    return texts.select("text", "label").mapInArrow(each, "chunks binary, label int")
+
+
+def fit(rows: list[tuple[bytes, int]], epochs: int = EPOCHS) -> Network | None:
+    """A network from (chunks, label); None without texts of both labels. Labels weigh alike."""
+    rows = sorted((bytes(found), label) for found, label in rows)
     if len({label for _, label in rows}) < 2:
         return None
     r = np.random.default_rng(5)
-    by_label = [[chunks(text.encode("utf-8", "replace")) for text, label in rows if label == y] for y in (0, 1)]
+    by_label = [[np.frombuffer(found, np.uint8).reshape(-1, CHUNK) for found, label in rows if label == y] for y in (0, 1)]
     network = Network()
     per_epoch = max(1, min(len(by_label[0]) + len(by_label[1]), 2 * DOCS_PER_LABEL) // BATCH)
     for _ in range(epochs * max(1, 60 // per_epoch)):
@@ -157,8 +181,7 @@ def fit(rows: list[tuple[str, int]], epochs: int = EPOCHS) -> Network | None:
             docs, labels = [], []
             for y in (0, 1):
                 for at in r.integers(0, len(by_label[y]), BATCH // 2):
-                    own = by_label[y][at]
-                    docs.append(own if len(own) <= TRAINING_CHUNKS else own[r.choice(len(own), TRAINING_CHUNKS, replace=False)])
+                    docs.append(by_label[y][at])
                     labels.append(y)
             network.learn(docs, np.array(labels, np.float32))
     network.moments = {}
@@ -169,11 +192,11 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """A row per document: doc_id, held_out, score, predicted.
 
     Only texts are inputs of a score. Fits on labelled rows whose fold of five is not 0, at most
-    DOCS_PER_LABEL of each label. Null and empty texts score 0; without usable labels all others
+    DOCS_PER_LABEL of each label and TRAINING_CHUNKS of a text. Null and empty texts score 0; without usable labels all others
     score 0.5. Rows that repeat come back as often; ids may be null. Other columns are not read;
     an empty table gives no rows."""
     texts = sample(docs, labels, "quality", fold("doc_id", 5) != 0, {0: DOCS_PER_LABEL, 1: DOCS_PER_LABEL})
-    network = fit([(r["text"], r["label"]) for r in texts.toLocalIterator()])
+    network = fit([(r["chunks"], r["label"]) for r in cut(texts).toLocalIterator()])
     source = docs.select("doc_id", text_of().alias("text"))
     schema = T.StructType([source.schema["doc_id"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
