@@ -215,16 +215,33 @@ class Scorer:
 
 
 def around(words: list[str], i: int) -> float:
-    """How much of a term's weight counts: little in a quotation or where speech is reported,
-    all where someone is addressed."""
+    """How much of a term's weight counts: little in a quotation or where speech is reported in the
+    same sentence, all where someone is addressed.
+
+    A quotation holds the term only if it is still open there and is closed later."""
     before, after = words[max(0, i - REACH) : i], words[i + 1 : i + 1 + REACH]
-    opened = any(w[0] in OPENING for w in before + [words[i]])
-    closed = any(w.rstrip(".,;:!?)")[-1:] in CLOSING for w in [words[i]] + after if w.rstrip(".,;:!?)"))
-    if opened and closed or any(bare(w) in REPORTING for w in before):
+    is_open = False
+    for word in before:
+        is_open = (is_open or word[0] in OPENING) and not closes(word)
+    quoted = (is_open or words[i][0] in OPENING) and any(map(closes, [words[i], *after]))
+    reported = False
+    for word in reversed(before):
+        if ends_sentence(word):
+            break
+        reported = reported or bare(word) in REPORTING
+    if quoted or reported:
         return QUOTED
     return 1.0 if any(bare(w) in ADDRESSING for w in before + after) else ALOOF
 
 
+def closes(word: str) -> bool:
+    return word.rstrip(".,;:!?)")[-1:] in tuple(CLOSING)
+
+
+def ends_sentence(word: str) -> bool:
+    return word.rstrip(CLOSING + ")")[-1:] in (".", "!", "?")
+
+
 def learn(texts: DataFrame, stands_for: dict[int, float] | None = None) -> Model:
     """From (text, label), a bounded sample; a text of label y stands for ``stands_for[y]`` texts.
 
@@ -286,7 +303,7 @@ def learn(texts: DataFrame, stands_for: dict[int, float] | None = None) -> Model
     seen = near.groupBy("word", "term").agg(
         F.countDistinct(F.when(toxic, F.col("text_hash"))).alias("d"), F.countDistinct(F.when(~toxic, F.col("text_hash"))).alias("c")
     ).collect()
-    ordinary = frozenset(r["word"] for r in seen if r["c"])
+    ordinary = frozenset(r["word"] for r in seen if r["c"] * n_toxic > r["d"] * n_clean)  # more usual in clean texts
     once, odd, entries = {}, {}, {}
     for term in model.exact:
         entries[term[:STEM]] = entries.get(term[:STEM], 0) + 1
