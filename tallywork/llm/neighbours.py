@@ -24,8 +24,9 @@ from tallywork.llm.common import written
 #: Bound of the sample that the tree is fitted on, branches of a node, sample vectors of a leaf.
 SAMPLE, BRANCHES, LEAF = 20_000, 16, 128
 #: Share of true neighbours that calibration asks for, and the queries it takes.
-RECALL, CALIBRATION = 0.94, 200
-SHARD_ROWS = 4096
+RECALL, CALIBRATION = 0.96, 200
+#: Vectors, and queries, of a leaf that meet in one task.
+SHARD_ROWS, SHARD_QUERIES = 4096, 1 << 15
 QUERY_BLOCK = 256
 #: Rows of queries and leaves that a task passes on together.
 ROUTED = 4096
@@ -139,8 +140,11 @@ def usable(vector: Column) -> Column:
 
 
 def packed(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """(vec_id, vec) with usable vectors as bytes of doubles."""
+    """(vec_id, vec) with usable vectors of the most frequent length as bytes of doubles."""
     source = vectors.filter(F.col(vec_id).isNotNull() & usable(F.col(embedding)))
+    lengths = source.groupBy(F.size(embedding).alias("n")).count().orderBy(F.col("count").desc(), F.col("n").desc()).limit(1)
+    usual = (lengths.first() or {"n": 0})["n"]
+    source = source.filter(F.size(embedding) == usual)
     source = source.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,19 +158,29 @@ def packed(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return source.mapInArrow(pack, "vec_id long, vec binary")
 
 
-def searched(vectors: DataFrame, queries: Column, k: int = 20, recall: float = RECALL, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+def searched(
+    vectors: DataFrame,
+    queries: Column,
+    k: int = 20,
+    recall: float = RECALL,
+    vec_id: str = "vec_id",
+    embedding: str = "embedding",
+    sample_rows: int = SAMPLE,
+    shard_rows: int = SHARD_ROWS,
+    shard_queries: int = SHARD_QUERIES,
+) -> DataFrame:
     """For each usable vector that ``queries`` holds for: query_id, rank, vec_id, score of the k
     nearest found among all others.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do null
-    ids; all others must have one length. A query never finds its own id; rows that repeat an id
+    ids; of vectors of several lengths those of the most frequent one do (of two the longer). A query never finds its own id; rows that repeat an id
     are candidates each. With k candidates or fewer all are found. Equal scores go by the smaller
     id. Other columns are not read; an empty table gives no rows. The vectors are written to the
     shared folder with their leaf, as they are needed several times."""
     spark = vectors.sparkSession
     result = "query_id long, rank int, vec_id long, score double"
     rows = packed(vectors, vec_id, embedding)
-    sample = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(SAMPLE).toArrow()
+    sample = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").limit(sample_rows).toArrow()
     if not sample.num_rows:
         return spark.createDataFrame([], result)
     fitted = matrix(sample["vec"])
@@ -198,12 +212,15 @@ def searched(vectors: DataFrame, queries: Column, k: int = 20, recall: float = R
             yield rows(batch, at, leaf)
 
     # a row per leaf, and leaves are bounded by the sample
-    shards = homed.groupBy("leaf").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("shards"))
+    shards = homed.groupBy("leaf").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
     shards = F.broadcast(shards)
     dealt = homed.join(shards, "leaf").withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
     asked = homed.filter(queries).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query")).distinct()
+    # No group has more than so many queries: they are dealt in blocks, and each shard meets each block.
+    blocks = 1 + homed.filter(queries).count() // shard_queries
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = asked.mapInArrow(route, "query_id long, query binary, leaf long").join(shards, "leaf")
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(5)), F.lit(blocks)).cast("int"))
 
     def meet(candidates: pa.Table, asking: pa.Table) -> pa.Table:
         found = {"query_id": [], "vec_id": [], "score": []}
@@ -219,8 +236,8 @@ def searched(vectors: DataFrame, queries: Column, k: int = 20, recall: float = R
         return pa.table({c: pa.array(np.concatenate(v) if v else [], kinds[c]) for c, v in found.items()})
 
     met = (
-        dealt.select("leaf", "shard", "vec_id", "vec").groupBy("leaf", "shard")
-        .cogroup(asked.select("leaf", "shard", "query_id", "query").groupBy("leaf", "shard"))
+        dealt.select("leaf", "shard", "block", "vec_id", "vec").groupBy("leaf", "shard", "block")
+        .cogroup(asked.select("leaf", "shard", "block", "query_id", "query").groupBy("leaf", "shard", "block"))
         .applyInArrow(meet, TOGETHER)
     )
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import shutil
 import zlib
 
 import numpy as np
@@ -61,6 +62,42 @@ def test_files_of_odd_rows(spark, odd, nothing):
     assert token_files.read_index(spark, empty).count() == 0
 
 
+def test_files_count_by_their_ids_not_their_names(spark, tmp_path, docs):
+    """Names of six digits sort before those of five; so do copies of one id keep their order."""
+    one = docs.orderBy("doc_id").limit(60)
+    where = tmp_path / "joined"
+    where.mkdir()
+    for number, part in ((99999, one.filter("doc_id < 20")), (100000, one.filter("doc_id >= 20").union(one.filter("doc_id = 30").withColumn("text", F.lit("later copy"))))):
+        own = tmp_path / str(number)
+        token_files.write_ids(part.coalesce(1), str(own), WORDS, 1)
+        for i, file in enumerate(sorted(own.glob("part-*.orc"))):
+            shutil.copy(file, where / f"part-{number + i:05d}-x.orc")
+    rows = [(r.doc_id, r.text) for r in one.collect()] + [(30, "later copy")]
+    rows.sort(key=lambda r: (r[0], len(r[1] or "")))
+    got = [tuple(r) for r in token_files.read_index(spark, str(where)).orderBy("start").collect()]
+    assert got == index_of(rows)
+    stored = {(r.doc_id, r.copy): list(r.ids) for r in spark.read.orc(str(where)).collect()}
+    at = {r[1]: r for r in got}
+    assert len(stored[30, 0]) < len(stored[30, 1]) and zlib.crc32(np.array(stored[30, 1], "<u4").tobytes()) == at[max(s for s, r in at.items() if r[0] == 30)][3]
+
+
+def test_a_bloom_filter_keeps_a_stripe_from_being_read(spark, docs):
+    """An id between the smallest and the largest that no document has: no row leaves the scan."""
+    where = new_folder(spark, "pruned-files")
+    token_files.write_ids(docs.withColumn("doc_id", F.col("doc_id") * 2).coalesce(1), where, WORDS, 1)
+
+    def read(doc_id):
+        asked = spark.read.orc(where).filter(F.col("doc_id") == doc_id)
+        found = len(asked.collect())
+        scan = asked._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return found, scan.metrics().apply("numOutputRows").value()
+
+    hits = [read(2 * i) for i in (3, 50, 77)]
+    misses = [read(2 * i + 1) for i in (3, 50, 77, 90, 120)]
+    assert all(found == 1 and scanned >= 1 for found, scanned in hits)
+    assert sum(scanned == 0 for _, scanned in misses) >= 4 and not any(found for found, _ in misses)
+
+
 # --- neighbours
 
 
@@ -170,3 +207,27 @@ def test_standard_list_knows_common_licences(spark):
     docs = spark.createDataFrame([*texts.items(), ("none", "A plain text about the license of a driver, with nothing else.")], "doc_id string, text string")
     found = {(r.doc_id, r.template_id) for r in license_scan.scan(docs, license_scan.standard(spark)).collect()}
     assert {(name, name) for name in texts} <= found and not any(doc_id == "none" for doc_id, _ in found)
+
+
+def test_neighbours_of_a_sampled_tree_in_shards_and_blocks(spark):
+    """A tree of a part of the vectors, many shards of a leaf, several blocks of queries."""
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = table.collect()
+    ids, vectors = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    asked = [i for i in ids.tolist() if i % 4 == 0]
+    got = neighbours.searched(table, F.col("vec_id") % 4 == 0, 10, sample_rows=400, shard_rows=16, shard_queries=7).collect()
+    want = brute(ids, vectors, asked, 10)
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    assert set(found) == set(asked) and all(sorted(x) == list(range(1, 11)) for x in found.values())
+    hits = sum(len({v for v, _ in found[q].values()} & {v for v, _ in want[q]}) for q in asked)
+    assert hits / (10 * len(asked)) >= 0.9
+    whole = neighbours.searched(table, F.col("vec_id") % 4 == 0, 10, recall=1.0, sample_rows=400, shard_rows=16, shard_queries=7)
+    assert len(whole.collect()) == 10 * len(asked)
+
+
+def test_vectors_of_other_lengths_take_no_part(spark):
+    data = [(i, [float(i % 7), 1.0, 2.0]) for i in range(40)] + [(100 + i, [1.0, 2.0]) for i in range(10)] + [(200, [5.0, 5.0, 5.0, 5.0])]
+    got = neighbours.searched(spark.createDataFrame(data, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, 3).collect()
+    assert {r.query_id for r in got} == {0, 20} and all(r.vec_id < 40 for r in got)

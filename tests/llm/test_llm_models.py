@@ -348,3 +348,23 @@ def test_context_and_misspellings():
     assert score("the loweiung here") >= 0.3
     assert score('she said "stupid" and left') < 0.3 and score("the word moron is an insult") < 0.3
     assert score("oron is a common word") == score("") == toxicity.FLOOR
+
+
+@pytest.mark.parametrize("text,share", [
+    ('they wrote "you stupid thing" there', toxicity.QUOTED), ('a "fine day" you stupid thing "again"', 1.0), ('"stupid" is all', toxicity.QUOTED),
+    ("that word stupid here", toxicity.QUOTED), ("That is a word. You stupid thing", 1.0), ("(the word!) you stupid thing", 1.0),
+    ('so "open but never closed stupid thing', toxicity.ALOOF), ("a stupid thing", toxicity.ALOOF),
+])
+def test_what_stands_around_a_term(text, share):
+    words = text.lower().split()
+    at = next(i for i, w in enumerate(words) if toxicity.bare(w) == "stupid")
+    assert toxicity.around(words, at) == share
+
+
+def test_training_takes_all_chunks_up_to_the_bound():
+    short, long = b"abc " * 500, bytes(range(1, 250)) * 4000
+    assert (quality.training_chunks(short) == quality.chunks(short)).all()
+    some = quality.training_chunks(long)
+    whole = {c.tobytes() for c in quality.chunks(long)}
+    assert len(some) == quality.TRAINING_CHUNKS and all(c.tobytes() in whole for c in some)
+    assert (some == quality.training_chunks(long)).all()
