@@ -5,7 +5,8 @@ their bit counts, kept in unary code: a segment is 00, 01 or 11. The Manhattan d
 vectors is then the number of differing bits of two words, and never above the Hamming distance
 of the fingerprints. The 32 coordinates form seven groups. Vectors at a distance of 4 or less
 agree in at least three groups, so the grid has a cell for each value of each three groups
-(35 tables), and each fingerprint lies in 35 cells. Within a cell, pairs pass the Manhattan bound
+(35 tables), and each fingerprint lies in 35 cells. Very many fingerprints are cut into more groups,
+so that cells, by more coordinates each, stay as small. Within a cell, pairs pass the Manhattan bound
 first and the exact Hamming distance last.
 
 A cell never emits all its pairs: small cells are compared as sorted arrays, large ones by a
@@ -14,7 +15,9 @@ search that takes points out as they are reached, and each task passes on a span
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, combinations
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,8 @@ from tallywork.llm.components import components
 DISTANCE = 4
 SHINGLE = 4
 SEED = 42
-GROUPS = 7
+#: Least number of groups; chance cells have at most so many fingerprints of those counted.
+GROUPS, CHANCE_ROWS = 7, 256
 RESULT = ("fingerprint", "component_id")
 #: Cells up to this size are compared by shifting the sorted array.
 SHIFTS = 8
@@ -82,19 +86,24 @@ def embedding(fp: Column) -> Column:
     return x.bitwiseOR(y).bitwiseOR(F.shiftleft(x.bitwiseAND(y), 1))
 
 
-def masks() -> list[int]:
-    """Of each three of the seven groups of coordinates, the bits in the embedding."""
-    groups = [0] * GROUPS
+def groups_for(count: int) -> int:
+    """Groups for so many different fingerprints: a segment's bit count tells 1.5 bits."""
+    return next(g for g in range(GROUPS, 33) if g == 32 or count / 2 ** (48 * (g - DISTANCE) / g) <= CHANCE_ROWS)
+
+
+def masks(number: int = GROUPS) -> list[int]:
+    """Of all groups of coordinates but four, in each choice, the bits in the embedding."""
+    groups = [0] * number
     for segment in range(32):
-        groups[segment % GROUPS] |= 3 << (2 * segment)
-    sums = [a | b | c for a, b, c in combinations(groups, GROUPS - DISTANCE)]
+        groups[segment % number] |= 3 << (2 * segment)
+    sums = [reduce(or_, some) for some in combinations(groups, number - DISTANCE)]
     return [m - (1 << 64) if m >> 63 else m for m in sums]
 
 
-def grid(fps: DataFrame) -> DataFrame:
+def grid(fps: DataFrame, groups: int = GROUPS) -> DataFrame:
     """A row per fingerprint and table: table, cell, fp, vec."""
     vec = embedding(F.col("fp"))
-    tables = F.array(*[F.struct(F.lit(i).alias("table"), F.lit(m).cast("long").alias("mask")) for i, m in enumerate(masks())])
+    tables = F.array(*[F.struct(F.lit(i).alias("table"), F.lit(m).cast("long").alias("mask")) for i, m in enumerate(masks(groups))])
     spread = fps.select("fp", vec.alias("vec")).select("fp", "vec", F.explode(tables).alias("t"))
     return spread.select("t.table", F.col("vec").bitwiseAND(F.col("t.mask")).alias("cell"), "fp", "vec")
 
@@ -201,7 +210,8 @@ def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def linked_kinds(kinds: DataFrame) -> DataFrame:
     """(fp, least, root) from distinct fingerprints (fp, least): the smallest fingerprint that links reach."""
-    cells = grid(kinds.select("fp")).repartition("table", "cell").sortWithinPartitions("table", "cell", "fp")
+    kinds = written(kinds, "kinds")
+    cells = grid(kinds.select("fp"), groups_for(kinds.count())).repartition("table", "cell").sortWithinPartitions("table", "cell", "fp")
     roots = components(cells.mapInArrow(linked, "a long, b long"))
     return kinds.join(roots, kinds["fp"] == roots["a"], "left").select("fp", "least", F.coalesce("b", "fp").alias("root"))
 

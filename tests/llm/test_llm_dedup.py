@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -107,6 +108,17 @@ def test_dense_cells_lose_no_link(spark):
     assert all(len(v) == 1 for v in by_root.values()) and len(by_root) == len(set(label))
 
 
+def test_more_fingerprints_take_more_groups():
+    assert [simhash.groups_for(n) for n in (0, 10**6, 10**8, 10**9, 10**10, 10**11)] == [7, 7, 7, 8, 9, 10]
+    for groups in (7, 8, 9):
+        masks = [m & (1 << 64) - 1 for m in simhash.masks(groups)]
+        assert len(masks) == math.comb(groups, 4)
+        dice = random.Random(groups)
+        for _ in range(200):  # four differing segments anywhere: some table has none of them
+            changed = sum(3 << 2 * s for s in dice.sample(range(32), 4))
+            assert any(not m & changed for m in masks)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i + 1, i) for i in range(40)] + [(200, x) for x in range(150, 199)] + [(301, 300)]
     got = {r.a: r.b for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
