@@ -18,6 +18,10 @@ DEMOGRAPHICS = {"C": "Couples", "F": "Families"}
 UNKNOWN = "unknown"
 
 
+# The names of the two sides.
+BEFORE, AFTER = "before change", "after change"
+
+
 def _mapped(key: Column, texts: dict[str, str]) -> Column:
     pairs = [F.lit(x) for pair in texts.items() for x in pair]
     return F.create_map(*pairs)[key]
@@ -110,7 +114,7 @@ def of_side(name: str) -> Column:
 def before_after(clean: DataFrame, day: str, weeks: int) -> DataFrame:
     """Total sales of the two sides, one row each."""
     before, after = window_of(day, weeks)
-    return side_totals(clean, {"before change": before, "after change": after})
+    return side_totals(clean, {BEFORE: before, AFTER: after})
 
 
 def before_after_percent(clean: DataFrame, day: str, weeks: int, scale: int) -> DataFrame:
@@ -138,7 +142,7 @@ def before_after_years(clean: DataFrame, month_day: str, years: Sequence[int], w
             fields += [F.col(f"{letter}{year}").alias(f"sales_{year}"), growth.alias(f"percent_change_{year}")]
         return F.struct(*fields)
 
-    return totals.select(F.inline(F.array(side("before change", "b"), side("after change", "a"))))
+    return totals.select(F.inline(F.array(side(BEFORE, "b"), side(AFTER, "a"))))
 
 
 def impact_by_dimension(clean: DataFrame, dimensions: Sequence[str], day: str, weeks: int) -> DataFrame:

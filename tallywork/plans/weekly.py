@@ -73,10 +73,11 @@ from v_clean_weekly group by 1, 2""")
                  else f"week_date_ >= date '{day}' and week_date_ <= date '{day}' + {7 * weeks}")
         return f"sum(case when {where} then sales end)"
 
+    days = f"date_diff('day', date '{DAY}', week_date_)"
     r.add("before_after", on_clean(pr.before_after, DAY, 4), view, f"""
-select case when week_date_ < '{DAY}' then 'before change' else 'after change' end as changes,
-       cast(sum(sales) as double) as total_sales
-from v_clean_weekly where week_date_ between date '{DAY}' - 28 and date '{DAY}' + 28 group by 1""")
+with named(later, changes) as (values (false, '{pr.BEFORE}'), (true, '{pr.AFTER}'))
+select changes, cast(sum(sales) as double) as total_sales
+from v_clean_weekly join named on later = ({days} >= 0) where abs({days}) <= 28 group by changes""")
     for key, weeks, scale in (("before_after_pct", 4, 2), ("before_after_pct_12", 12, 3)):
         b, a = side("before", DAY, weeks), side("after", DAY, weeks)
         r.add(key, on_clean(pr.before_after_percent, DAY, weeks, scale), view, f"""
@@ -89,7 +90,7 @@ from (select {b} as b, {a} as a from v_clean_weekly) t""")
             f"{side('before', f'{y}-06-15', weeks)} as b{y}, {side('after', f'{y}-06-15', weeks)} as a{y}" for y in years
         )
         rows = []
-        for letter, name in (("b", "before change"), ("a", "after change")):
+        for letter, name in (("b", pr.BEFORE), ("a", pr.AFTER)):
             columns = ", ".join(
                 f"cast({letter}{y} as double) as sales_{y}, "
                 + (sql_ratio(f"a{y} - b{y}", f"b{y}", 3, 100) if letter == "a" else "cast(null as double)")
@@ -99,12 +100,9 @@ from (select {b} as b, {a} as a from v_clean_weekly) t""")
             rows.append(f"select '{name}' as changes, {columns} from totals")
         r.add(key, on_clean(pr.before_after_years, "06-15", years, weeks), view,
               f"with totals as (select {sums} from v_clean_weekly) {' union all '.join(rows)}")
-    b, a = "sum(case when week_date_ < '{0}' then sales else 0 end)", "sum(case when week_date_ >= '{0}' then sales else 0 end)"
-    b, a = b.format(DAY), a.format(DAY)
-    branches = " union all ".join(
-        f"select '{c}' as dimension, {c} as value, cast({b} as double) as before_changes, cast({a} as double) as after_changes, "
-        f"{sql_ratio(f'{a} - {b}', b, 2, 100)} as percent_change from around group by 2" for c in DIMENSIONS
-    )
+    b, a = (f"coalesce(sum(sales) filter (days {sign} 0), 0)" for sign in ("<", ">="))
     r.add("impact_by_dimension", on_clean(pr.impact_by_dimension, DIMENSIONS, DAY, 12), view, f"""
-with around as (select * from v_clean_weekly where week_date_ between date '{DAY}' - 84 and date '{DAY}' + 84)
-{branches}""")
+with swing as (select {", ".join(DIMENSIONS)}, sales, {days} as days from v_clean_weekly where abs({days}) <= 84),
+tall as (select * from swing unpivot include nulls (value for dimension in ({", ".join(DIMENSIONS)})))
+select dimension, value, cast({b} as double) as before_changes, cast({a} as double) as after_changes, {sql_ratio(f'{a} - {b}', b, 2, 100)} as percent_change
+from tall group by dimension, value""")
