@@ -79,6 +79,8 @@ def basket_texts(lines: DataFrame, products: DataFrame, at_least: int) -> DataFr
 
 #: Items from which a transaction is wide: its pairs are not listed, but looked up.
 WIDE = 100
+#: Most frequent pairs that the search starts with.
+FIRST_PAIRS = 10_000
 
 
 def pairs_of(rows: DataFrame) -> DataFrame:
@@ -133,24 +135,20 @@ def frequent_sets(lines: DataFrame, products: DataFrame, size: int, wide: int =
 
     Level by level: items of two transactions or more, pairs of them, sets of three whose pairs are
     all frequent, and so on, counted by a join per level and bounded at ``size``. No set is more
-    frequent than its rarest pair, so the search starts at the count that enough pairs have for one
-    set; it ends when the best set found is more frequent than every pair not yet taken. The next
+    frequent than its rarest pair, so the search starts with the most frequent pairs and ends when the best set found is more frequent than every pair not yet taken. The next
     bound is the best count so far, or half the last bound. A transaction with very many items lists
     no pairs of its own. Where no set is in two transactions, all are equally frequent: each
     transaction gives its first by name."""
-    names = lines.join(products.select("product_id", F.col("product_name").alias("item")), "product_id").select("txn_id", "item").distinct()
-    names = cut_lineage(names)
-    baskets = names.join(counted(names, "item").filter("n > 1"), "item", "left_semi").select("txn_id", "item")
-    sizes = counted(baskets, "txn_id")
-    large = sizes.filter(F.col("n") > wide).select("txn_id")
-    narrow, large = cut_lineage(baskets.join(large, "txn_id", "left_anti")), cut_lineage(baskets.join(large, "txn_id", "left_semi"))
-    several = large.agg(F.countDistinct("txn_id").alias("n")).first()["n"] > 1
-    pairs = cut_lineage(pair_counts(narrow, large, several))
-    needed = size * (size - 1) // 2
-    top = pairs.orderBy(F.col("n").desc()).limit(needed).agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("rows")).first()
-    bound = top["n"] if top["rows"] == needed else 0
+    known = products.groupBy("product_name").agg(F.min("product_id").alias("item"))  # products of one name are one item
+    item_of = products.join(known, "product_name").select("product_id", "item")
+    names = cut_lineage(lines.join(item_of, "product_id").select("txn_id", "item").distinct())
+    wide_ids = cut_lineage(counted(names, "txn_id").filter(F.col("n") > wide).select("txn_id"))
+    narrow, large = names.join(wide_ids, "txn_id", "left_anti"), names.join(wide_ids, "txn_id", "left_semi")
+    pairs = cut_lineage(pair_counts(narrow, large, wide_ids.count() > 1))
+    top = pairs.orderBy(F.col("n").desc()).limit(FIRST_PAIRS).agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    bound = top["n"] if top["rows"] >= size * (size - 1) // 2 else 0
     while bound > 1:
-        pairs_in = occurrences(pairs.filter(F.col("n") >= bound), narrow, large)
+        pairs_in = cut_lineage(occurrences(pairs.filter(F.col("n") >= bound), narrow, large))
         level = pairs_in.select("txn_id", F.array("a", "b").alias("items"))
         for _ in range(size - 2):
             level = next_level(level, pairs_in)
@@ -159,21 +157,24 @@ def frequent_sets(lines: DataFrame, products: DataFrame, size: int, wide: int =
         # A set not counted yet has a rarer pair, so it is no more frequent than the best of those.
         rarer = pairs.filter(F.col("n") < bound).agg(F.max("n").alias("n")).first()["n"] or 0
         if best > max(1, rarer) or best >= bound:
-            return named(counts.filter(F.col("n") == best))
+            return named(counts.filter(F.col("n") == best), known)
         bound = min(max(best, bound // 2), rarer)
-    return named(first_of_each(names, size).distinct().withColumn("n", F.lit(1).cast("bigint")))
+    return named(first_of_each(names.join(known, "item"), size).distinct().withColumn("n", F.lit(1).cast("bigint")), known)
 
 
 def first_of_each(names: DataFrame, size: int) -> DataFrame:
     """Each transaction's first items in the order of their text, if it has so many."""
-    rank = F.row_number().over(Window.partitionBy("txn_id").orderBy(F.concat("item", F.lit(", "))))
+    rank = F.row_number().over(Window.partitionBy("txn_id").orderBy(F.concat("product_name", F.lit(", "))))
     first = names.withColumn("_rank", rank).filter(F.col("_rank") <= size)
     lists = first.groupBy("txn_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
     return lists.filter(F.size("items") == size).select("items")
 
 
-def named(counts: DataFrame) -> DataFrame:
-    return counts.select(F.array_join("items", ", ").alias("product_combi"), F.col("n").alias("transactions"))
+def named(counts: DataFrame, known: DataFrame) -> DataFrame:
+    """The sets' names in one text, in their order."""
+    rows = counts.select("items", "n", F.explode("items").alias("item")).join(known, "item")
+    texts = rows.groupBy("items").agg(F.array_join(F.array_sort(F.collect_list("product_name")), ", ").alias("product_combi"), F.max("n").alias("transactions"))
+    return texts.select("product_combi", "transactions")
 
 
 def report(lines: DataFrame, products: DataFrame, period: str, member: str) -> DataFrame:
