@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import new_folder, released, text_of, written
+from tallywork.llm.common import new_folder, released, text_of
 from tallywork.llm.labelled import fold
 
 SWEEPS = 3
@@ -52,6 +52,8 @@ MOST_FILES = 100_000
 END = b" "
 HELD = np.uint16(1 << 15)
 KINDS = "bucket long, chunk long, counts binary, entries binary"
+#: Part scores are whole multiples of 1 / SCALE.
+SCALE = float(1 << 30)
 #: Numbers that are summed over all buckets besides those of split words.
 SCALARS = 8
 
@@ -450,16 +452,27 @@ def added(number: int, size: int):
     return add
 
 
+def bucketed(rows: DataFrame, buckets: int, name: str) -> DataFrame:
+    """``rows`` as a stored table in which a bucket has its place: it joins with others of the kind
+    without a shuffle. The files lie in the shared folder; the catalogue's name is not kept."""
+    spark = rows.sparkSession
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    rows.write.bucketBy(min(buckets, MOST_FILES), "bucket").option("path", new_folder(spark, name)).format("parquet").saveAsTable(table)
+    found = spark.table(table)
+    found.schema  # resolved: the files are read from here on
+    spark.sql(f"drop table {table}")
+    return found
+
+
 def joined(buckets: DataFrame, sums: list[DataFrame], *columns: str) -> DataFrame:
-    """The buckets, which stay in place, with all that came back for their contexts."""
+    """The buckets with all that came back for their contexts; neither side is moved."""
     own = buckets.select("bucket", *columns)
-    if not sums:
-        return own
-    back = sums[0]
-    for more in sums[1:]:
-        back = back.unionByName(more)
-    back = back.filter("bucket >= 0").groupBy("bucket").agg(F.collect_list(F.struct("number", "part", "data")).alias("sums"))
-    return own.join(back.hint("shuffle_hash"), "bucket", "left")
+    names = []
+    for i, some in enumerate(sums):
+        back = some.filter("bucket >= 0").groupBy("bucket").agg(F.collect_list(F.struct("number", "part", "data")).alias(f"sums{i}"))
+        own = own.join(back.hint("shuffle_hash"), "bucket", "left")
+        names.append(F.coalesce(f"sums{i}", F.array().cast(back.schema[f"sums{i}"].dataType)))
+    return own.select("bucket", *columns, F.concat(*names).alias("sums")) if names else own
 
 
 def stats_of(buckets: DataFrame, parts: int, model: Model, number: int, sums: list[DataFrame]) -> tuple[dict[int, int], np.ndarray]:
@@ -468,7 +481,8 @@ def stats_of(buckets: DataFrame, parts: int, model: Model, number: int, sums: li
     size = 2 * len(model.hot) + SCALARS
     rows = joined(buckets, sums, "counts").mapInArrow(totals(model, number, parts), "part long, bucket long, data binary")
     rows = rows.repartition(parts, "part").sortWithinPartitions("part")
-    sums.append(written(rows.mapInArrow(added(number, size), "bucket long, number int, part long, data binary"), f"context-sums-{number}"))
+    found = rows.mapInArrow(added(number, size), "bucket long, number int, part long, data binary")
+    sums.append(bucketed(found.repartition(parts, "bucket"), parts, f"context-sums-{number}"))
     found, tables = np.zeros(size, np.int64), []
     for row in sums[-1].filter("bucket = -1").select("data").toLocalIterator():
         key, value = unsqueezed(row["data"], "<i8", "<i8")
@@ -500,7 +514,7 @@ def trained(buckets: DataFrame, parts: int, hot: frozenset[int], sweeps: int, su
 
 
 def evaluated(model: Model):
-    """Sums for a bucket's part of each chunk: document, known tokens, base and model log10."""
+    """Sums for a bucket's part of each chunk: document, unknown tokens, base and model log10."""
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -520,15 +534,18 @@ def evaluated(model: Model):
                 seen = per_word.astype(float)
                 seen[split] = model.hot_counts[place]
                 log_base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.words + 1)))[word]
-                known = (seen > 0)[word]
+                unknown = (seen == 0)[word]
                 chunks, per_pair, chunk, doc, times = unsqueezed(entries.as_py(), "<i8", "<u4", "<u4", "<u2", "<u4")
                 pair = np.repeat(np.arange(len(per_pair), dtype=np.int32), per_pair)
                 places, at = np.unique(chunk.astype(np.int64) << 15 | (doc & ~HELD), return_inverse=True)
-                sums = [np.bincount(at, x[pair] * times, len(places)) for x in (known, log_base, log_p)]
+                sums = [np.bincount(at, unknown[pair] * times, len(places)).astype("<u4")]
+                for x in (log_base, log_p):  # whole numbers add up alike in any order
+                    sums.append(np.rint(-np.bincount(at, x[pair] * times, len(places)) * SCALE).astype(np.int64))
                 edges = np.concatenate([runs(places >> 15), [len(places)]])
                 rows = []
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b].astype("<u4"), sums[1][a:b].astype("<f8"), sums[2][a:b].astype("<f8"))
+                    planes = [x for some in sums[1:] for x in ((some[a:b] & 0xFFFFFFFF).astype("<u4"), (some[a:b] >> 32).astype("<i4"))]
+                    part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b], *planes)
                     rows.append((bucket, int(chunks[places[a] >> 15]), part))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
@@ -544,23 +561,25 @@ def summed(model: Model, schema: T.StructType):
 
     def out(table: pa.Table, sums: np.ndarray) -> pa.RecordBatch:
         n = len(table)
-        columns = [table["doc_id"], table["held"], table["n"], pa.array(sums[0].astype(np.int64)), pa.array(np.full(n, tokens)), pa.array(sums[1]), pa.array(sums[2])]
+        known = pa.array(table["n"].to_numpy() - sums[0])
+        columns = [table["doc_id"], table["held"], table["n"], known, pa.array(np.full(n, tokens)), pa.array(-sums[1] / SCALE), pa.array(-sums[2] / SCALE)]
         columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, sums = None, np.zeros((3, 0))
+        table, sums = None, np.zeros((3, 0), np.int64)
         for batch in batches:
             for bucket, entries in zip(batch.column(0).to_pylist(), batch.column(2)):
                 if bucket < 0:
                     if table is not None:
                         yield out(table, sums)
                     table = pa.ipc.open_stream(entries.as_py()).read_all()
-                    sums = np.zeros((3, len(table)))
+                    sums = np.zeros((3, len(table)), np.int64)
                 else:
-                    doc, *parts = unsqueezed(entries.as_py(), "<u2", "<u4", "<f8", "<f8")
-                    for i, part in enumerate(parts):
-                        sums[i, doc] += part
+                    doc, unknown, *planes = unsqueezed(entries.as_py(), "<u2", "<u4", "<u4", "<i4", "<u4", "<i4")
+                    sums[0, doc] += unknown
+                    for i in (0, 1):
+                        sums[i + 1, doc] += planes[2 * i].astype(np.int64) + (planes[2 * i + 1].astype(np.int64) << 32)
         if table is not None:
             yield out(table, sums)
 
@@ -597,11 +616,7 @@ def scored(docs: DataFrame, sweeps: int = SWEEPS, doc_id: str = "doc_id", text:
     buckets = 1 + int(size // bucket_bytes)
     rows = source.mapInArrow(counted(buckets, hot), KINDS)
     rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(gathered, KINDS)
-    name = f"word_counts_{uuid.uuid4().hex}"
-    rows.write.bucketBy(min(buckets, MOST_FILES), "bucket").option("path", new_folder(spark, "word-counts")).format("parquet").saveAsTable(name)
-    table = spark.table(name)
-    table.schema  # resolved: the files are read from here on, the name is not needed any more
-    spark.sql(f"drop table {name}")
+    table = bucketed(rows, buckets, "word-counts")
     own, sums = table.filter("bucket >= 0"), []
     model = trained(own, buckets, hot, sweeps, sums)
     schema = T.StructType([source.schema["doc_id"]] + [T.StructField(n, k) for n, k in (
