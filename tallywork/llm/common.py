@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 1 << 20) -> Iterator[None]:
+    """While it holds, actions hand rows to Python in batches of some ``size`` bytes (a larger row
+    goes alone). Batches of tens of MB take native memory that the executors don't give back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where null."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.llm.common import new_folder, released, text_of
+from tallywork.llm.common import new_folder, released, small_batches, text_of, written
 from tallywork.llm.labelled import fold
 
 SWEEPS = 3
@@ -103,39 +103,51 @@ def counted(buckets: int, hot: frozenset[int]):
     def chunk_rows(number: int, ids: list, held: list[bool], sizes: list[int], tokens: list[np.ndarray], vocabulary: dict, id_type) -> Iterator[dict]:
         words = list(vocabulary)
         hashes = np.array([hash_of(w) for w in words], np.uint64)
+        vocabulary.clear()
+        n_words = len(words)
+        del words
         lengths = np.array(sizes)
-        rank = np.empty(len(words), np.int64)
+        rank = np.empty(n_words, np.int32)
         by_hash = np.argsort(hashes)
-        rank[by_hash] = np.arange(len(words))
+        rank[by_hash] = np.arange(n_words)
         hashes = hashes[by_hash]
         w = rank[np.concatenate(tokens)]
         tokens.clear()
-        doc = np.repeat(np.arange(len(ids)), lengths)
-        u = np.empty(len(w), np.int64)
+        del rank, by_hash
+        doc = np.repeat(np.arange(len(ids), dtype=np.int16), lengths)
+        u = np.empty(len(w), np.int32)
         u[1:] = w[:-1]  # at the start of a text: the end of another
         u[0] = w[-1]
-        if len(words) >> 25:  # one very long document: words take more bits
+        if n_words >> 25:  # one very long document: words take more bits
             order = np.lexsort((doc, u, w))
             w, u, doc = w[order], u[order], doc[order]
             first = np.flatnonzero(np.concatenate([[True], (np.diff(w) != 0) | (np.diff(u) != 0) | (np.diff(doc) != 0)]))
             count = np.diff(np.concatenate([first, [len(w)]])).astype("<u4")
             entry_word, entry_context, d = w[first], u[first], doc[first].astype("<u2")
+            del w, u, doc
         else:
-            key = w << 38 | u << 13 | doc
+            key = w.astype(np.int64)
+            for x, bits in ((u, 25), (doc, 13)):
+                key <<= bits
+                key |= x
+            del w, u, doc, x
             key.sort()
             first = runs(key)
             count = np.diff(np.concatenate([first, [len(key)]])).astype("<u4")
             key = key[first]
+            del first
             entry_word, entry_context, d = (key >> 38).astype(np.int32), (key >> 13 & (1 << 25) - 1).astype(np.int32), (key & (1 << 13) - 1).astype("<u2")
+            del key
         own = (hashes >> np.uint64(8)) % np.uint64(buckets)
         entry_bucket = own[entry_word]
         spread = np.isin(hashes, hot_words)[entry_word]
         mixed = (hashes[entry_word[spread]] >> np.uint64(8)) + (hashes[entry_context[spread]] >> np.uint64(8)) * np.uint64(0x9E3779B97F4A7C15)
         entry_bucket[spread] = (mixed >> np.uint64(7)) % np.uint64(buckets)
         entry_bucket = entry_bucket.astype(np.int32)
+        del spread, mixed
         order = np.argsort(entry_bucket, kind="stable").astype(np.int32)
-        del w, u, doc
         entry_bucket, entry_word, entry_context, d, count = (x[order] for x in (entry_bucket, entry_word, entry_context, d, count))
+        del order
         held_bits = np.where(held, HELD, np.uint16(0)).astype("<u2")
         edges = np.concatenate([runs(entry_bucket), [len(entry_bucket)]])
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
@@ -172,7 +184,7 @@ def counted(buckets: int, hot: frozenset[int]):
                 ids.append(doc_id)
                 held.append(out)
                 sizes.append(len(words))
-                tokens.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
+                tokens.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
                 size += len(words)
                 if size >= CHUNK_TOKENS or len(ids) == CHUNK_DOCS:
                     for row in chunk_rows(chunk, ids, held, sizes, tokens, vocabulary, batch.column(0).type):
@@ -195,7 +207,9 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("counts", pa.binary()), ("entries", pa.binary())])
 
     def merged(bucket: int, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        chunks = np.array([c for c, _ in held], "<i8")
         parts = [unsqueezed(raw, "<u8", "<u4", "<u8", "<u2", "<u2", "<u2", "<u4") for _, raw in held]
+        held.clear()
         words, word = np.unique(np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]), return_inverse=True)
         contexts, context = np.unique(np.concatenate([np.cumsum(p[2], dtype=np.uint64) for p in parts]), return_inverse=True)
         key = np.repeat(word << 32, np.concatenate([p[1] for p in parts]))
@@ -208,14 +222,15 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = key[order]
         starts = runs(key)
         doc, count, chunk = doc[order], count[order], chunk[order]
-        training = np.where(doc & HELD, 0, count).astype(np.int64)
-        pair_count = np.add.reduceat(training, starts)
+        del order
+        pair_count = np.add.reduceat(np.where(doc & HELD, np.uint32(0), count), starts, dtype=np.int64)
         pair_word = (key[starts] >> 32).astype("<u4")
         per_word = np.bincount(pair_word, pair_count, len(words)).astype("<i8")
         gaps = [np.diff(x, prepend=np.uint64(0)) for x in (words, contexts)]
         counts = squeezed(gaps[0], per_word, gaps[1], pair_word, *halves(key[starts] & 0xFFFFFFFF), pair_count.astype("<i8"))
         per_pair = np.diff(np.concatenate([starts, [len(key)]])).astype("<u4")
-        entries = squeezed(np.array([c for c, _ in held], "<i8"), per_pair, chunk, doc, count)
+        del key, starts, pair_word, pair_count, gaps
+        entries = squeezed(chunks, per_pair, chunk, doc, count)
         return pa.RecordBatch.from_pylist([{"bucket": bucket, "chunk": -1, "counts": counts, "entries": entries}], schema)
 
     now, held = None, []
@@ -227,6 +242,7 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if bucket != now and held:
                 yield merged(now, held)
+                released()
                 held = []
             now = bucket
             held.append((batch.column(1)[i].as_py(), batch.column(3)[i].as_py()))
@@ -367,8 +383,9 @@ def replay(model: Model, bucket: int, counts: bytes, back: Back | None):
 
 
 def totals(model: Model, number: int, parts: int):
-    """What one sweep leaves in a bucket, as rows (part, bucket, data). Data are the hashes, tables
-    and, in the first pass, training tokens and repeated pairs of the contexts of one range; with bucket -1 keys and
+    """What one sweep leaves in a bucket, as rows (part, bucket, data). Data are the tables of the
+    contexts of one range, in the first pass also their hashes, training tokens and repeated pairs (later
+    passes send the contexts that can change, whose places the range has kept); with bucket -1 keys and
     sums over the bucket's words: of split words their tables, in the first pass also training
     tokens; words and pairs that occur once and twice."""
     hot = len(model.hot)
@@ -397,7 +414,10 @@ def totals(model: Model, number: int, parts: int):
                     contexts, per_context = contexts[back.loose], [per_context[0][back.loose]]
                 part = ((contexts >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)).astype(np.int64)
                 edges = np.concatenate([runs(part), [len(part)]])
-                rows = [(int(part[a]), bucket, squeezed(np.diff(contexts[a:b], prepend=np.uint64(0)), *[x[a:b] for x in per_context])) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                rows = []
+                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                    hashes = [] if number else [np.diff(contexts[a:b], prepend=np.uint64(0))]
+                    rows.append((int(part[a]), bucket, squeezed(*hashes, *[x[a:b] for x in per_context])))
                 key = np.flatnonzero(found)
                 rows.append((bucket % parts, -1, squeezed(key.astype("<i8"), found[key])))
                 yield pa.RecordBatch.from_arrays(
@@ -411,25 +431,40 @@ def totals(model: Model, number: int, parts: int):
 
 def added(number: int, size: int):
     """The sums of each range of contexts, a row for each bucket with its contexts in their order,
-    and with bucket -1 those over words and last the range's tables. Rows come sorted by part."""
-    kinds = ["<u8", "<i8", "<i8", "<i8"] if not number else ["<u8", "<i8"]
+    and with bucket -1 those over words and last the range's tables. The first pass adds a row of
+    bucket -2 - part: where in the range's contexts that can change those of each bucket lie. Later
+    passes get it back, and no hashes. Rows come sorted by part."""
 
     def summed_up(part: int, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
         found = np.zeros(size + 2, np.int64)
-        for bucket, data in held:
-            if bucket < 0:
-                key, value = unsqueezed(data, "<i8", "<i8")
-                found[key] += value
-        owners = [bucket for bucket, _ in held if bucket >= 0]
-        own = [unsqueezed(data, *kinds) for bucket, data in held if bucket >= 0]
-        rows = []
-        if own:
+        for _, data in (x for x in held if x[0] == -1):
+            key, value = unsqueezed(data, "<i8", "<i8")
+            found[key] += value
+        rows, sent = [], {bucket: data for bucket, data in held if bucket >= 0}
+        if sent and number:
+            owners, sizes, gaps = unsqueezed(next(data for bucket, data in held if bucket < -1), "<i8", "<i8", "<u4")
+            edges = np.cumsum(np.append(0, sizes)).tolist()
+            places = [np.cumsum(gaps[a:b], dtype=np.int64) for a, b in zip(edges[:-1], edges[1:])]
+            total = np.zeros(1 + max(int(at[-1]) for at in places), np.int64)
+            for bucket, at in zip(owners.tolist(), places):  # a bucket has a context once
+                total[at] += unsqueezed(sent[bucket], "<i8")[0]
+            rows = [(bucket, squeezed(total[at])) for bucket, at in zip(owners.tolist(), places)]
+            found[-1] = int(total.sum())
+        elif sent:
+            own = [unsqueezed(data, "<u8", "<i8", "<i8", "<i8") for data in sent.values()]
             contexts, at = np.unique(np.concatenate([np.cumsum(x[0], dtype=np.uint64) for x in own]), return_inverse=True)
-            total = [np.bincount(at, np.concatenate([x[i] for x in own]), len(contexts)).astype("<i8") for i in range(1, len(kinds))]
+            total = [np.bincount(at, np.concatenate([x[i] for x in own]), len(contexts)).astype("<i8") for i in (1, 2, 3)]
             edges = np.cumsum([0] + [len(x[0]) for x in own]).tolist()
-            rows = [(bucket, squeezed(*[t[at[a:b]] for t in total])) for bucket, a, b in zip(owners, edges[:-1], edges[1:])]
+            rows = [(bucket, squeezed(*[t[at[a:b]] for t in total])) for bucket, a, b in zip(sent, edges[:-1], edges[1:])]
             found[-1] = int(total[0].sum())
-            found[-2] = 0 if number else int(total[0][total[2] == 0].sum())  # tables that stay
+            found[-2] = int(total[0][total[2] == 0].sum())  # tables that stay
+            loose = total[2] > 0
+            place = np.cumsum(loose) - 1
+            places = {bucket: place[x[loose[x]]] for bucket, a, b in zip(sent, edges[:-1], edges[1:]) for x in [at[a:b]]}
+            places = {bucket: x for bucket, x in places.items() if len(x)}
+            if places:
+                gaps = np.concatenate([np.diff(x, prepend=0) for x in places.values()]).astype("<u4")
+                rows.append((-2 - part, squeezed(np.array(list(places), "<i8"), np.array([len(x) for x in places.values()], "<i8"), gaps)))
         key = np.flatnonzero(found)
         rows.append((-1, squeezed(key.astype("<i8"), found[key])))
         return pa.RecordBatch.from_arrays(
@@ -448,6 +483,8 @@ def added(number: int, size: int):
                 held.append((bucket, data))
         if held:
             yield summed_up(now, held)
+        del held
+        released()
 
     return add
 
@@ -480,6 +517,8 @@ def stats_of(buckets: DataFrame, parts: int, model: Model, number: int, sums: li
     words are returned (the latter from -1 downwards), and of each range of contexts the tables that stay and those sent."""
     size = 2 * len(model.hot) + SCALARS
     rows = joined(buckets, sums, "counts").mapInArrow(totals(model, number, parts), "part long, bucket long, data binary")
+    if number:
+        rows = rows.union(sums[0].filter("bucket < -1").select("part", "bucket", "data"))
     rows = rows.repartition(parts, "part").sortWithinPartitions("part")
     found = rows.mapInArrow(added(number, size), "bucket long, number int, part long, data binary")
     sums.append(bucketed(found.repartition(parts, "bucket"), parts, f"context-sums-{number}"))
@@ -524,20 +563,27 @@ def evaluated(model: Model):
                 back = Back(batch.column(3)[i].as_py())
                 context_tokens = back.tokens
                 for n, tables, below, above, _, (words, per_word, _, word, context, count, split, place) in replay(model, bucket, counts.as_py(), back):
-                    if not n or n >= len(model.sweeps):
+                    if not n:
                         continue
                     sweep = model.sweeps[n]
                     parent = model.parent(below, above, sweep)[word]
                     strength = STRENGTH + model.discount * back.tables(n)[context]
                     average = average + (count - model.discount * tables + strength * parent) / (STRENGTH + context_tokens[context])
+                    if n == len(model.sweeps) - 1:
+                        break
                 log_p = np.log10(average / (len(model.sweeps) - 1))
                 seen = per_word.astype(float)
                 seen[split] = model.hot_counts[place]
                 log_base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.words + 1)))[word]
                 unknown = (seen == 0)[word]
+                del back, context_tokens, tables, below, above, words, per_word, word, context, count, split, place, parent, strength, average, seen, counts
                 chunks, per_pair, chunk, doc, times = unsqueezed(entries.as_py(), "<i8", "<u4", "<u4", "<u2", "<u4")
                 pair = np.repeat(np.arange(len(per_pair), dtype=np.int32), per_pair)
-                places, at = np.unique(chunk.astype(np.int64) << 15 | (doc & ~HELD), return_inverse=True)
+                places = chunk.astype(np.uint64 if len(chunks) >> 17 else np.uint32)
+                places <<= 15
+                places |= doc & ~HELD
+                places, at = np.unique(places, return_inverse=True)
+                places = places.astype(np.int64)
                 sums = [np.bincount(at, unknown[pair] * times, len(places)).astype("<u4")]
                 for x in (log_base, log_p):  # whole numbers add up alike in any order
                     sums.append(np.rint(-np.bincount(at, x[pair] * times, len(places)) * SCALE).astype(np.int64))
@@ -547,10 +593,12 @@ def evaluated(model: Model):
                     planes = [x for some in sums[1:] for x in ((some[a:b] & 0xFFFFFFFF).astype("<u4"), (some[a:b] >> 32).astype("<i4"))]
                     part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b], *planes)
                     rows.append((bucket, int(chunks[places[a] >> 15]), part))
+                del chunk, doc, times, pair, at, places, sums, log_base, log_p, unknown
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
                     names=["bucket", "chunk", "entries"],
                 )
+                released()
 
     return evaluate
 
@@ -608,7 +656,12 @@ def scored(docs: DataFrame, sweeps: int = SWEEPS, doc_id: str = "doc_id", text:
     is one for each ``bucket_bytes`` of text, whatever the session's settings. The draws depend on
     word, context and sweep, so neither the number of buckets nor which words are split changes a
     score (beyond the rounding of sums)."""
-    spark = docs.sparkSession
+    with small_batches(docs.sparkSession):
+        found = _scored(docs, sweeps, doc_id, text, bucket_bytes)
+    return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+
+
+def _scored(docs: DataFrame, sweeps: int, doc_id: str, text: str, bucket_bytes: int) -> DataFrame:
     source = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     source = source.withColumn("held_out", fold("doc_id", 5) == 1)
     hot = frequent(source)
@@ -626,4 +679,4 @@ def scored(docs: DataFrame, sweeps: int = SWEEPS, doc_id: str = "doc_id", text:
     parts = joined(own, sums, "counts", "entries").mapInArrow(evaluated(model), "bucket long, chunk long, entries binary")
     parts = parts.union(table.filter("bucket < 0").select("bucket", "chunk", "entries"))
     found = parts.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(summed(model, schema), schema)
-    return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    return written(found, "scores")

@@ -197,6 +197,39 @@ def test_scores_against_one_customer_at_a_time(spark):
     assert all(math.isclose(many[i], got[i].score, rel_tol=1e-9) for i, _ in rows)
 
 
+def test_rows_reach_python_in_small_batches(spark, monkeypatch):
+    """Long texts and packed counts of one partition don't meet in one batch, and the session keeps
+    its setting."""
+    most, key = 1 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def watched(make):
+        def made(*args):
+            inner = make(*args)
+
+            def run(batches):
+                def small():
+                    for batch in batches:
+                        if batch.num_rows > 1 and batch.nbytes > 2 * most:
+                            raise ValueError(f"{batch.num_rows} rows, {batch.nbytes} bytes at once")
+                        yield batch
+
+                return inner(small())
+
+            return run
+
+        return made
+
+    for name in ("counted", "totals", "added", "evaluated", "summed"):
+        monkeypatch.setattr(pitman_yor, name, watched(getattr(pitman_yor, name)))
+    dice = random.Random(3)
+    rows = [(i, " ".join(f"v{dice.randrange(10**6)}" for _ in range(40_000))) for i in range(16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get(key, None)
+    got = pitman_yor.scored(docs).collect()
+    assert sorted(r.doc_id for r in got) == list(range(16)) and {r.n_tokens for r in got} == {40_001}
+    assert spark.conf.get(key, None) == before
+
+
 def test_scores_of_odd_rows(odd, nothing):
     got = pitman_yor.scored(clashing(odd, "n_tokens", "score", "bucket")).collect()
     assert len(got) == odd.count() and all(math.isfinite(r.score) and r.score < 0 for r in got)
