@@ -49,6 +49,8 @@ HOT_SHARE, HOT_DOCS = 0.0005, 500
 BUCKET_BYTES = 10_000_000
 #: Spark's own bound for the files of a bucketed table; a file may hold several buckets.
 MOST_FILES = 100_000
+#: Bytes of a bucket's counts, and of its entries, in one row: large rows cost the JVM many times their size.
+PIECE = 200_000
 END = b" "
 HELD = np.uint16(1 << 15)
 KINDS = "bucket long, chunk long, counts binary, entries binary"
@@ -201,12 +203,12 @@ def counted(buckets: int, hot: frozenset[int]):
 
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per bucket. counts: word hashes, training tokens per word, context hashes; word, context
+    """The rows of each bucket, its counts and entries cut into pieces that ``chunk`` numbers. counts: word hashes, training tokens per word, context hashes; word, context
     and training count of each pair. entries: chunks, entries per pair; chunk, document and count of each entry.
     Rows of documents pass through. The rows come sorted by bucket and chunk."""
     schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("counts", pa.binary()), ("entries", pa.binary())])
 
-    def merged(bucket: int, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    def merged(bucket: int, held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         chunks = np.array([c for c, _ in held], "<i8")
         parts = [unsqueezed(raw, "<u8", "<u4", "<u8", "<u2", "<u2", "<u2", "<u4") for _, raw in held]
         held.clear()
@@ -231,7 +233,9 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per_pair = np.diff(np.concatenate([starts, [len(key)]])).astype("<u4")
         del key, starts, pair_word, pair_count, gaps
         entries = squeezed(chunks, per_pair, chunk, doc, count)
-        return pa.RecordBatch.from_pylist([{"bucket": bucket, "chunk": -1, "counts": counts, "entries": entries}], schema)
+        for i in range(0, max(len(counts), len(entries)), PIECE):
+            piece = {"bucket": bucket, "chunk": i // PIECE, "counts": counts[i : i + PIECE] or None, "entries": entries[i : i + PIECE] or None}
+            yield pa.RecordBatch.from_pylist([piece], schema)
 
     now, held = None, []
     for batch in batches:
@@ -241,17 +245,38 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield batch.slice(i, 1)
                 continue
             if bucket != now and held:
-                yield merged(now, held)
+                yield from merged(now, held)
                 released()
                 held = []
             now = bucket
             held.append((batch.column(1)[i].as_py(), batch.column(3)[i].as_py()))
     if held:
-        yield merged(now, held)
+        yield from merged(now, held)
     del held
     released()
 
 
+def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, bytes, list[dict]]]:
+    """Each bucket with its counts, entries and sums, put together from its pieces; rows come sorted
+    by bucket and piece, and the first has the sums."""
+    now, held = None, []
+
+    def whole_bucket():
+        counts, entries = (b"".join(r.get(name) or b"" for r in held) for name in ("counts", "entries"))
+        sums = held[0].get("sums") or []
+        held.clear()
+        return now, counts, entries, sums
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and row["bucket"] != now:
+                yield whole_bucket()
+            now = row["bucket"]
+            held.append(row)
+    if held:
+        yield whole_bucket()
+
+
 @dataclass
 class Sweep:
     """What a sweep leaves for the next on the driver: tables of the contexts of each range, tables
@@ -391,39 +416,37 @@ def totals(model: Model, number: int, parts: int):
     hot = len(model.hot)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                bucket, counts = batch.column(0)[i].as_py(), batch.column(1)[i]
-                back = Back(batch.column(2)[i].as_py()) if number else None
-                for n, tables, below, above, own, (words, per_word, contexts, word, context, count, split, place) in replay(model, bucket, counts.as_py(), back):
-                    if n == number:
-                        break
-                found = np.zeros(2 * hot + SCALARS, np.int64)
-                np.add.at(found, hot + place, own[split].astype(np.int64))
-                found[-1] = int(above[~split].sum())
-                found[-8] = int(tables.sum())
-                per_context = [np.bincount(context, tables, len(contexts)).astype("<i8")]
-                if not number:
-                    per_context += [np.bincount(context, x, len(contexts)).astype("<i8") for x in (count, count > 1)]
-                    np.add.at(found, place, per_word[split])
-                    found[-2] = int(per_word.sum())
-                    found[-3] = int((per_word[~split] > 0).sum())
-                    found[-4], found[-5] = int((count == 1).sum()), int((count == 2).sum())
-                    found[-6], found[-7] = int((own[~split] == 1).sum()), int((own[~split] == 2).sum())
-                else:
-                    contexts, per_context = contexts[back.loose], [per_context[0][back.loose]]
-                part = ((contexts >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)).astype(np.int64)
-                edges = np.concatenate([runs(part), [len(part)]])
-                rows = []
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    hashes = [] if number else [np.diff(contexts[a:b], prepend=np.uint64(0))]
-                    rows.append((int(part[a]), bucket, squeezed(*hashes, *[x[a:b] for x in per_context])))
-                key = np.flatnonzero(found)
-                rows.append((bucket % parts, -1, squeezed(key.astype("<i8"), found[key])))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
-                    names=["part", "bucket", "data"],
-                )
+        for bucket, counts, _, found_sums in wholes(batches):
+            back = Back(found_sums) if number else None
+            for n, tables, below, above, own, (words, per_word, contexts, word, context, count, split, place) in replay(model, bucket, counts, back):
+                if n == number:
+                    break
+            found = np.zeros(2 * hot + SCALARS, np.int64)
+            np.add.at(found, hot + place, own[split].astype(np.int64))
+            found[-1] = int(above[~split].sum())
+            found[-8] = int(tables.sum())
+            per_context = [np.bincount(context, tables, len(contexts)).astype("<i8")]
+            if not number:
+                per_context += [np.bincount(context, x, len(contexts)).astype("<i8") for x in (count, count > 1)]
+                np.add.at(found, place, per_word[split])
+                found[-2] = int(per_word.sum())
+                found[-3] = int((per_word[~split] > 0).sum())
+                found[-4], found[-5] = int((count == 1).sum()), int((count == 2).sum())
+                found[-6], found[-7] = int((own[~split] == 1).sum()), int((own[~split] == 2).sum())
+            else:
+                contexts, per_context = contexts[back.loose], [per_context[0][back.loose]]
+            part = ((contexts >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)).astype(np.int64)
+            edges = np.concatenate([runs(part), [len(part)]])
+            rows = []
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                hashes = [] if number else [np.diff(contexts[a:b], prepend=np.uint64(0))]
+                rows.append((int(part[a]), bucket, squeezed(*hashes, *[x[a:b] for x in per_context])))
+            key = np.flatnonzero(found)
+            rows.append((bucket % parts, -1, squeezed(key.astype("<i8"), found[key])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
+                names=["part", "bucket", "data"],
+            )
         released()
 
     return sums
@@ -502,14 +525,15 @@ def bucketed(rows: DataFrame, buckets: int, name: str) -> DataFrame:
 
 
 def joined(buckets: DataFrame, sums: list[DataFrame], *columns: str) -> DataFrame:
-    """The buckets with all that came back for their contexts; neither side is moved."""
-    own = buckets.select("bucket", *columns)
+    """The pieces of the buckets in order, the first with all that came back for the bucket's
+    contexts; neither side is moved."""
+    own = buckets.filter(F.coalesce(*columns).isNotNull()).select("bucket", "chunk", *columns)
     names = []
     for i, some in enumerate(sums):
-        back = some.filter("bucket >= 0").groupBy("bucket").agg(F.collect_list(F.struct("number", "part", "data")).alias(f"sums{i}"))
-        own = own.join(back.hint("shuffle_hash"), "bucket", "left")
+        back = some.filter("bucket >= 0").groupBy(F.col("bucket").alias(f"bucket{i}")).agg(F.collect_list(F.struct("number", "part", "data")).alias(f"sums{i}"))
+        own = own.join(back.hint("shuffle_hash"), (F.col("bucket") == F.col(f"bucket{i}")) & (F.col("chunk") == 0), "left")
         names.append(F.coalesce(f"sums{i}", F.array().cast(back.schema[f"sums{i}"].dataType)))
-    return own.select("bucket", *columns, F.concat(*names).alias("sums")) if names else own
+    return own.select("bucket", "chunk", *columns, *([F.concat(*names).alias("sums")] if names else [])).sortWithinPartitions("bucket", "chunk")
 
 
 def stats_of(buckets: DataFrame, parts: int, model: Model, number: int, sums: list[DataFrame]) -> tuple[dict[int, int], np.ndarray]:
@@ -556,49 +580,47 @@ def evaluated(model: Model):
     """Sums for a bucket's part of each chunk: document, unknown tokens, base and model log10."""
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                bucket, counts, entries = batch.column(0)[i].as_py(), batch.column(1)[i], batch.column(2)[i]
-                average = np.float64(0.0)
-                back = Back(batch.column(3)[i].as_py())
-                context_tokens = back.tokens
-                for n, tables, below, above, _, (words, per_word, _, word, context, count, split, place) in replay(model, bucket, counts.as_py(), back):
-                    if not n:
-                        continue
-                    sweep = model.sweeps[n]
-                    parent = model.parent(below, above, sweep)[word]
-                    strength = STRENGTH + model.discount * back.tables(n)[context]
-                    average = average + (count - model.discount * tables + strength * parent) / (STRENGTH + context_tokens[context])
-                    if n == len(model.sweeps) - 1:
-                        break
-                log_p = np.log10(average / (len(model.sweeps) - 1))
-                seen = per_word.astype(float)
-                seen[split] = model.hot_counts[place]
-                log_base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.words + 1)))[word]
-                unknown = (seen == 0)[word]
-                del back, context_tokens, tables, below, above, words, per_word, word, context, count, split, place, parent, strength, average, seen, counts
-                chunks, per_pair, chunk, doc, times = unsqueezed(entries.as_py(), "<i8", "<u4", "<u4", "<u2", "<u4")
-                pair = np.repeat(np.arange(len(per_pair), dtype=np.int32), per_pair)
-                places = chunk.astype(np.uint64 if len(chunks) >> 17 else np.uint32)
-                places <<= 15
-                places |= doc & ~HELD
-                places, at = np.unique(places, return_inverse=True)
-                places = places.astype(np.int64)
-                sums = [np.bincount(at, unknown[pair] * times, len(places)).astype("<u4")]
-                for x in (log_base, log_p):  # whole numbers add up alike in any order
-                    sums.append(np.rint(-np.bincount(at, x[pair] * times, len(places)) * SCALE).astype(np.int64))
-                edges = np.concatenate([runs(places >> 15), [len(places)]])
-                rows = []
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    planes = [x for some in sums[1:] for x in ((some[a:b] & 0xFFFFFFFF).astype("<u4"), (some[a:b] >> 32).astype("<i4"))]
-                    part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b], *planes)
-                    rows.append((bucket, int(chunks[places[a] >> 15]), part))
-                del chunk, doc, times, pair, at, places, sums, log_base, log_p, unknown
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
-                    names=["bucket", "chunk", "entries"],
-                )
-                released()
+        for bucket, counts, entries, found_sums in wholes(batches):
+            average = np.float64(0.0)
+            back = Back(found_sums)
+            context_tokens = back.tokens
+            for n, tables, below, above, _, (words, per_word, _, word, context, count, split, place) in replay(model, bucket, counts, back):
+                if not n:
+                    continue
+                sweep = model.sweeps[n]
+                parent = model.parent(below, above, sweep)[word]
+                strength = STRENGTH + model.discount * back.tables(n)[context]
+                average = average + (count - model.discount * tables + strength * parent) / (STRENGTH + context_tokens[context])
+                if n == len(model.sweeps) - 1:
+                    break
+            log_p = np.log10(average / (len(model.sweeps) - 1))
+            seen = per_word.astype(float)
+            seen[split] = model.hot_counts[place]
+            log_base = np.log10((seen + 0.5) / (model.tokens + 0.5 * (model.words + 1)))[word]
+            unknown = (seen == 0)[word]
+            del back, found_sums, context_tokens, tables, below, above, words, per_word, word, context, count, split, place, parent, strength, average, seen, counts
+            chunks, per_pair, chunk, doc, times = unsqueezed(entries, "<i8", "<u4", "<u4", "<u2", "<u4")
+            pair = np.repeat(np.arange(len(per_pair), dtype=np.int32), per_pair)
+            places = chunk.astype(np.uint64 if len(chunks) >> 17 else np.uint32)
+            places <<= 15
+            places |= doc & ~HELD
+            places, at = np.unique(places, return_inverse=True)
+            places = places.astype(np.int64)
+            sums = [np.bincount(at, unknown[pair] * times, len(places)).astype("<u4")]
+            for x in (log_base, log_p):  # whole numbers add up alike in any order
+                sums.append(np.rint(-np.bincount(at, x[pair] * times, len(places)) * SCALE).astype(np.int64))
+            edges = np.concatenate([runs(places >> 15), [len(places)]])
+            rows = []
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                planes = [x for some in sums[1:] for x in ((some[a:b] & 0xFFFFFFFF).astype("<u4"), (some[a:b] >> 32).astype("<i4"))]
+                part = squeezed((places[a:b] & (HELD - 1)).astype("<u2"), sums[0][a:b], *planes)
+                rows.append((bucket, int(chunks[places[a] >> 15]), part))
+            del chunk, doc, times, pair, at, places, sums, log_base, log_p, unknown
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())],
+                names=["bucket", "chunk", "entries"],
+            )
+            released()
 
     return evaluate
 
