@@ -61,16 +61,18 @@ SCALARS = 8
 
 
 def squeezed(*arrays: np.ndarray) -> bytes:
+    """The arrays compressed, first bytes of all numbers first: most high bytes are zero."""
     heads = np.array([len(a) for a in arrays], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(heads + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=3).compress(heads + b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays))
 
 
 def unsqueezed(raw: bytes, *kinds: str) -> list[np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(raw)
     sizes, at, out = np.frombuffer(data, "<i8", len(kinds)), 8 * len(kinds), []
     for kind, n in zip(kinds, sizes.tolist()):
-        out.append(np.frombuffer(data, kind, n, at))
-        at += n * np.dtype(kind).itemsize
+        width = np.dtype(kind).itemsize
+        out.append(np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T.copy().view(kind).reshape(n))
+        at += n * width
     return out
 
 
